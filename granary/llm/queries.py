@@ -19,6 +19,12 @@ def op1_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, folder)
 
 
+def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -27,6 +33,7 @@ def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_elias_fano": op1_elias_fano,
+    "op3_simhash_neardup": op3_simhash_neardup,
     "op8_residual_packing": op8_residual_packing,
 }
 ORACLES: dict[str, str] = {}
