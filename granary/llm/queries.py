@@ -19,6 +19,12 @@ def op1_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, folder)
 
 
+def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ogg import media_digest
+
+    return media_digest(_documents(spark, sf_dir))
+
+
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -33,6 +39,7 @@ def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_elias_fano": op1_elias_fano,
+    "op2_ogg": op2_ogg,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op8_residual_packing": op8_residual_packing,
 }
