@@ -31,6 +31,13 @@ def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import scored, train
+
+    docs = _documents(spark, sf_dir)
+    return scored(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -41,6 +48,7 @@ QUERIES = {
     "op1_elias_fano": op1_elias_fano,
     "op2_ogg": op2_ogg,
     "op3_simhash_neardup": op3_simhash_neardup,
+    "op5_ordinal_toxicity": op5_ordinal_toxicity,
     "op8_residual_packing": op8_residual_packing,
 }
 ORACLES: dict[str, str] = {}
