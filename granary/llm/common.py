@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import functools
 import os
+import sys
 import tempfile
+import unicodedata
 import uuid
+from array import array
+from itertools import chain, filterfalse
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -54,52 +58,92 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class WordIds(dict):
     """Ids of a stretch without blanks, by the tokenizers library; stretches met before come from memory.
 
-    The vocabulary's pre-tokenizer always cuts at white space and lower-cases character by character, so a text's
-    ids are those of its blank-separated stretches in turn.  An ASCII word followed by one comma or full stop
-    is the word's ids and the mark's, and ASCII capitals are the same as small letters unless a special token's
-    angle bracket is there.  The memory is bounded: of two generations the older goes when the younger is full.
+    The vocabulary's pre-tokenizer always cuts at white space, so a text's ids are those of its blank-separated stretches in
+    turn.  It also cuts between letters and marks (an apostrophe can belong to letters, and an angle bracket to a special
+    token, so stretches with them are left whole), and lower-cases character by character.  A word of Latin letters
+    needs no normalizer but that and goes to the library's model at once; whatever else goes through all of its
+    steps. The memory is bounded: of two generations the older goes when the younger is full.
     """
 
-    LIMIT = 200_000
+    LIMIT = 500_000
+    LONG = 64
+    MARKS = ".,;:!?$%&*#()-|\""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
         self.tokenizer, self.older = Tokenizer.from_file(path), {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self._ids(word)
-        if len(word) <= 64:
-            if len(self) >= self.LIMIT:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
+        self.model = self.tokenizer.model
+        pieces = ByteLevel(add_prefix_space=False, use_regex=False)
+        #: what the byte-level step makes of each Latin letter
+        self.bytes = {ord(c): pieces.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, 0x250)) if c.isalpha()}
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters; None if it isn't one."""
+        if not word.isalpha():
+            return None
+        if not word.isascii():
+            if max(word) > "\u024f" or "\u0130" in word or not unicodedata.is_normalized("NFC", word):
+                return None
+            word = word.lower()
+            if (ids := self.get(word)) is not None:
+                return ids
+            found = self.model.tokenize(word.translate(self.bytes))
+        else:
+            word = word.lower()
+            if (ids := self.get(word)) is not None:
+                return ids
+            found = self.model.tokenize(word)
+        ids = self[word] = array("H", [t.id for t in found]).tobytes()
         return ids
 
-    def _ids(self, word: str) -> bytes:
-        if word.isascii() and "<" not in word:
-            small = word.lower()
-            if word[-1:] in (",", ".") and word[:-1].isalpha():
-                return self[small[:-1]] + self[word[-1]]
-            if small != word:
-                return self[small]
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").astype("<u2").tobytes()
-
-    def of(self, text: str) -> bytes:
-        """The text's ids, two little-endian bytes each."""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def _learn(self, words: set[str]) -> None:
+        older, marks, rest = self.older, self.MARKS, []
+        for word in words:
+            ids = older.get(word)
+            if ids is None:
+                ids = self._word(word)
+                if ids is None:
+                    stem = word.rstrip(marks)
+                    tail = self.get(word[len(stem) :]) if stem and stem is not word else None
+                    ids = None if tail is None else self._word(stem)
+                    if ids is None:
+                        rest.append(word)
+                        continue
+                    ids += tail
+            self[word] = ids
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self[word] = array("H", found.ids).tobytes()
+            # the marks at its end serve other words from now on
+            tail = word[len(word.rstrip(marks)) :]
+            if tail and tail not in self and len(tail) <= self.LONG:
+                self[tail] = array("H", self.tokenizer.encode(tail, add_special_tokens=False).ids).tobytes()
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids, two little-endian bytes each."""
+        if len(self) > self.LIMIT:
+            self.older = dict(self)
+            self.clear()
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set(filterfalse(self.__contains__, chain.from_iterable(split)))
+        self._learn(new)
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > self.LONG:
+                for part in (word, word.lower(), word.rstrip(self.MARKS).lower()):
+                    self.pop(part, None)
+        return out
 
 
 @functools.cache
 def word_ids(path: str) -> WordIds:
     """One for each Python worker.  Ids must fit in two bytes."""
     words = WordIds(path)
-    if words.tokenizer.get_vocab_size() > 1 << 16:
-        raise ValueError("ids of this vocabulary don't fit in 16 bits")
+    if words.tokenizer.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
+        raise ValueError("ids are kept as 16 bits, little end first")
     return words
 
 

@@ -93,9 +93,9 @@ def _writer(path: str, end_id: int, segment_ids: int):
         parts: list[bytes] = []
         for batch in batches:
             done = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                 doc_ids.append(doc_id)
-                parts.append(encode(text) + end)
+                parts.append(ids + end)
                 size += len(parts[-1]) // 2
                 if size >= segment_ids:
                     done.append(_segment(shard, number, before, doc_ids, parts))

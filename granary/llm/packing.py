@@ -70,8 +70,8 @@ def _packer(path: str, capacity: int, end_id: int):
         encode, leaf = word_ids(path).of, TaskContext.get().partitionId()
         doc_ids, pieces, starts, lengths, crcs = [], [], [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(encode(text) + end, "<u2").astype("<u4")
+            for doc_id, coded in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                ids = np.frombuffer(coded + end, "<u2").astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     doc_ids.append(doc_id)
