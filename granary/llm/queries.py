@@ -31,6 +31,12 @@ def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import digest, scan
+
+    return digest(scan(_documents(spark, sf_dir)))
+
+
 def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import scored, train
 
@@ -48,6 +54,7 @@ QUERIES = {
     "op1_elias_fano": op1_elias_fano,
     "op2_ogg": op2_ogg,
     "op3_simhash_neardup": op3_simhash_neardup,
+    "op4_secret_battery": op4_secret_battery,
     "op5_ordinal_toxicity": op5_ordinal_toxicity,
     "op8_residual_packing": op8_residual_packing,
 }
