@@ -44,6 +44,12 @@ def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op6_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(_documents(spark, sf_dir))
+
+
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_secret_battery": op4_secret_battery,
     "op5_ordinal_toxicity": op5_ordinal_toxicity,
+    "op6_license_join": op6_license_join,
     "op8_residual_packing": op8_residual_packing,
 }
 ORACLES: dict[str, str] = {}
