@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import work_folder
 
@@ -50,6 +51,15 @@ def op6_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_documents(spark, sf_dir))
 
 
+def op7_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import predicted, train
+
+    docs = _documents(spark, sf_dir)
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = predicted(docs, train(docs, docs.where(~held)))
+    return found.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -63,6 +73,7 @@ QUERIES = {
     "op4_secret_battery": op4_secret_battery,
     "op5_ordinal_toxicity": op5_ordinal_toxicity,
     "op6_license_join": op6_license_join,
+    "op7_bigru_language": op7_bigru_language,
     "op8_residual_packing": op8_residual_packing,
 }
 ORACLES: dict[str, str] = {}
