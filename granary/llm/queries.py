@@ -66,6 +66,13 @@ def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op9_dual_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .covertree import top_k, whole_vectors
+
+    vectors = whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op1_elias_fano": op1_elias_fano,
     "op2_ogg": op2_ogg,
@@ -75,5 +82,18 @@ QUERIES = {
     "op6_license_join": op6_license_join,
     "op7_bigru_language": op7_bigru_language,
     "op8_residual_packing": op8_residual_packing,
+    "op9_dual_cover_tree": op9_dual_cover_tree,
+}
+ORACLES: dict[str, str] = {
+    "op9_dual_cover_tree": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+    """,
 }
-ORACLES: dict[str, str] = {}
