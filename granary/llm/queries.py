@@ -73,6 +73,12 @@ def op9_dual_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import schedule
+
+    return schedule(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_elias_fano": op1_elias_fano,
     "op2_ogg": op2_ogg,
@@ -83,6 +89,7 @@ QUERIES = {
     "op7_bigru_language": op7_bigru_language,
     "op8_residual_packing": op8_residual_packing,
     "op9_dual_cover_tree": op9_dual_cover_tree,
+    "op10_temperature_mixing": op10_temperature_mixing,
 }
 ORACLES: dict[str, str] = {
     "op9_dual_cover_tree": """

@@ -149,3 +149,18 @@ def digest(found: DataFrame, *more: str) -> DataFrame:
     base = F.concat(*[ordered[k] for k in KINDS[:3]])
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *more, *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.concat(base, ordered["random"])).alias("spans"))
+
+
+def masked(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """docs with every secret span of text replaced by ``mark`` (overlapping spans by one), columns as they are; null texts stay null.
+
+    The text is cut at its merged spans: for each the piece before it, then the mark, and at the end what is left.
+    """
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("whole_row")
+    found = scan(docs.select("doc_id", "text", row), "whole_row")
+    spans = F.expr("array_sort(transform(concat(assign, access, hex, random), x -> struct(x.s AS s, x.e AS e)))")
+    merged = "aggregate(spans, CAST(array() AS array<struct<s:int,e:int>>), (a, x) -> IF(size(a) > 0 AND x.s < get(a, size(a) - 1).e, concat(slice(a, 1, size(a) - 1), array(struct(get(a, size(a) - 1).s AS s, greatest(get(a, size(a) - 1).e, x.e) AS e))), concat(a, array(x))))"
+    found = found.select("whole_row", F.when(F.size(spans) > 0, spans).alias("spans")).withColumn("spans", F.when(F.col("spans").isNotNull(), F.expr(merged)))
+    text = f"concat(array_join(transform(spans, (x, i) -> concat(substring(whole_row.text, IF(i = 0, 0, get(spans, i - 1).e) + 1, x.s - IF(i = 0, 0, get(spans, i - 1).e)), '{mark}')), ''), substring(whole_row.text, get(spans, size(spans) - 1).e + 1))"
+    new = F.when(F.col("spans").isNull(), F.col("whole_row.text")).otherwise(F.expr(text))
+    return found.select(*[(new if c == "text" else F.col("whole_row").getField(c)).alias(c) for c in docs.columns])

@@ -171,3 +171,11 @@ def scored(docs: DataFrame, model: Ordinal, *more: str) -> DataFrame:
 
     small_batches(docs.sparkSession)
     return source.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs that the model doesn't reject, columns as they are; the model learns from docs that are labelled."""
+    model = train(docs, labels, sample)
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("whole_row")
+    judged = scored(docs.select("doc_id", "text", row), model, "whole_row").where("toxic = 0")
+    return judged.select(*[F.col("whole_row").getField(c).alias(c) for c in docs.columns])
