@@ -3,8 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from .plans import cleansing, history, records, resolution, semantic, surveillance
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def read(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+
+
+def _view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    return semantic.run(spark, view, read(spark, sf_dir, *semantic.TABLES))
+
+
+QUERIES: dict[str, Query] = {view: partial(_view, view=view) for view in semantic.QUERIES}
+ORACLES: dict[str, str] = {view: semantic.oracle(view) for view in semantic.QUERIES}
+for _module in (cleansing, records, history, resolution, surveillance):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
