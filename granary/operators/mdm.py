@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standard import similarity
-from .relational import latest
+from .relational import cut, latest
 
 #: Least name similarity of a merge with a postal code, and of a review.
 MERGE_SIMILARITY, REVIEW_SIMILARITY = 0.92, 0.85
@@ -95,18 +95,13 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> Dat
     Each round takes the smallest label among neighbours and then the label's label, so distances double.  Lineage is cut by
     checkpoint() into the cluster's shared folder.  Components that aren't stable after the last round are an error.
     """
-    spark = nodes.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/granary-checkpoints")
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint()
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(nodes.select("node", F.col("node").alias("label")))
     for _ in range(most_rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
         new = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("seen", "label")).alias("label"))
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = new.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")).checkpoint()
+        new = cut(new.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
         labels = new.select("node", "label")
         if not new.where("old <> label").limit(1).count():
             return labels

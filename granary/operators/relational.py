@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: checkpointed in the cluster's shared folder (a temporary one only where spark.checkpoint.dir is unset)."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/granary-checkpoints")
+    return df.checkpoint()
+
+
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in order. The order must be total; Spark keeps one row a key before the shuffle."""
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

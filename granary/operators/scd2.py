@@ -34,13 +34,14 @@ def step(history: DataFrame | None, rows: DataFrame, keys: list[str], tracked: l
 
     New keys open version 1; a key closed earlier reappears with its next version; changed attributes close the open version the day
     before and open the next, or restate it if it opened the same day; equal rows change nothing, untracked columns included; keys
-    that are gone close the day before unless they are ``held`` (their row is in quarantine).  History only goes forward.
+    that are gone close the day before unless they are ``held`` (their row is in quarantine).  History only goes
+    forward: a version from after ``day`` fails the job that reads the result.  A caller that takes many steps stores each one.
     """
     if history is None:
         return first(rows, keys, tracked, day)
     columns = rows.columns
-    if history.where(F.col("effective_from") > F.lit(day).cast("date")).limit(1).count():
-        raise ValueError(f"history already goes beyond {day}")
+    ahead = F.col("effective_from") > F.lit(day).cast("date")
+    history = history.where(F.coalesce(F.when(ahead, F.raise_error(F.lit(f"history already goes beyond {day}")).cast("boolean")), F.lit(True)))
     today, before = F.lit(day).cast("date"), F.date_sub(F.lit(day).cast("date"), 1)
     cur = rows.withColumn("_hash", record_hash([F.col(c) for c in tracked]))
     opened, closed = history.where("is_current").drop("surrogate_key"), history.where("NOT is_current").drop("surrogate_key")

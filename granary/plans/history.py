@@ -36,7 +36,7 @@ def _snapshot(t, month: str) -> DataFrame:
 
 
 def _history(t) -> DataFrame:
-    return reduce(lambda h, m: scd2.step(h, _snapshot(t, m), ["cust"], ["status", "priority"], _DAYS[m]), MONTHS, None)
+    return reduce(lambda h, m: relational.cut(scd2.step(h, _snapshot(t, m), ["cust"], ["status", "priority"], _DAYS[m])), MONTHS, None)
 
 
 @add(_HISTORY_SQL)
