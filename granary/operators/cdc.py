@@ -62,7 +62,7 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], keep: tuple[str
     """The target after an upsert by source time and content.
 
     Matched: all columns but ``keep`` are the source's where its time isn't older and its hash differs (a missing time never
-    updates). Unmatched source rows are inserted unless deleted. One full outer join; running it again changes nothing.
+    updates); the hash must cover the deletion flag. Unmatched source rows are inserted unless deleted. One full outer join; running it again changes nothing.
     """
     t, s = target.alias("t"), source.alias("s")
     joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")

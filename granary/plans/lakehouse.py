@@ -214,7 +214,7 @@ class Lakehouse:
             both = parts[0]
             for p in parts[1:]:
                 both = both.unionByName(p)
-            rows = latest(both, [key], [F.desc("_src_ts"), F.desc("_pos")]).withColumn("_record_hash", record_hash([F.col(x) for x in columns]))
+            rows = latest(both, [key], [F.desc("_src_ts"), F.desc("_pos")]).withColumn("_record_hash", record_hash([F.col(x) for x in [*columns, "_is_deleted"]]))
             if name == "customer":
                 rows = rows.withColumn("full_name", F.concat_ws(" ", "first_name", "middle_name", "last_name")).withColumn("address", F.concat_ws(" ", "addr_line1", "addr_line2", "city", "pincode"))
                 rows = standard.person(rows)

@@ -14,7 +14,7 @@ FIRST = ["Asha", "Ravi", "Meena", "Vikram", "Anita", "Suresh", "Kavita", "Rahul"
 LAST = ["Sharma", "Iyer", "Patel", "Reddy", "Nair", "Gupta", "Das", "Menon", "Rao", "Kulkarni", "Bose", "Joshi"]
 CITIES = [("Pune", "MH", "WEST", "411001"), ("Chennai", "TN", "SOUTH", "600001"), ("Delhi", "DL", "NORTH", "110001"), ("Kolkata", "WB", "EAST", "700001")]
 DATES = ["2026-09-21", "2026-09-22", "2026-09-23", "2026-09-24", "2026-09-25"]
-BANK = "GDLB"
+BANK = "NORB"
 
 
 class Bank:
