@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 #: Kinds of documents by file ending.
 MIME = {"eml": "message/rfc822", "txt": "text/plain", "png": "image/png", "pdf": "application/pdf", "jpg": "image/jpeg"}
 
@@ -69,6 +71,7 @@ def read_dump(spark: SparkSession, paths: str | list[str], table: str, columns:
                             out.append((file, number, *[row.get(c) for c in columns]))
             yield pd.DataFrame(out, columns=["_source_file", "_source_row", *columns])
 
+    ship(spark)
     schema = ", ".join(["_source_file string, _source_row int", *[f"`{c}` string" for c in columns]])
     return _files(spark, paths).mapInPandas(parse, schema)
 
