@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 #: Rows in an Arrow batch; texts are long, so Spark's default of 10,000 would hold too much at once.
 ARROW_ROWS = 512
 VOCABULARY = "word_bpe_49k.json"
@@ -40,7 +42,8 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts can hold."""
+    """Bound what one Arrow batch of whole texts can hold; to be called before each use of Python on executors."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 

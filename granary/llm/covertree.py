@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 SCALE = 1024
 #: Members of a leaf, candidates in a tree, queries that are sent to all tasks at once.
 LEAF, BLOCK, PASS = 48, 4096, 8192
@@ -174,6 +176,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, block: int = B
     candidates stay where they are scanned, a block in memory at a time, and a task gives k rows a query back.
     """
     spark = candidates.sparkSession
+    ship(spark)
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     count = queries.count()
     passes = max(1, -(-count // max(1, most // 2)) if count > most else 1)
