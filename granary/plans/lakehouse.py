@@ -21,6 +21,7 @@ from ..operators.relational import as_of, cut, latest, record_hash
 from ..operators.store import Table
 from ..sources import generator, readers
 from ..sources.contracts import CONTRACTS
+from . import consumers
 
 STAGES = ("land", "bronze", "silver", "mdm", "gold", "recon", "semantic")
 CURRENCIES = [("INR", "Indian Rupee", 1.0), ("USD", "US Dollar", 83.2), ("EUR", "Euro", 90.1), ("GBP", "Pound Sterling", 105.3)]
@@ -461,7 +462,7 @@ class Lakehouse:
             out = out.unionByName(c)
         t = self.table("ref", "recon_results")
         t.ensure(RECON)
-        t.delete(f"batch_id = '{batch}'", batch)
+        t.delete(f"batch_id = '{batch}' AND layer <> 'semantic'", batch)
         t.append(out, batch)
 
     # semantic layer
@@ -473,6 +474,11 @@ class Lakehouse:
         casa = deposits.groupBy("business_date").agg(F.sum("balance_inr").cast("double").alias("deposits"), F.sum(F.when(F.col("is_casa"), F.col("balance_inr")).otherwise(0)).cast("double").alias("casa"))
         out = npa.join(casa, "business_date").withColumns({"gross_npa_ratio": F.round(F.col("gross_npa") / F.col("gross_advances"), 6), "casa_ratio": F.round(F.col("casa") / F.col("deposits"), 6)})
         self._all("semantic", "kpi_trend", out, batch)
+        consumers.load(self, day)
+        t = self.table("ref", "recon_results")
+        t.ensure(RECON)
+        t.delete(f"batch_id = '{batch}' AND layer = 'semantic'", batch)
+        t.append(consumers.kpi_checks(self, day).select(F.lit(batch).alias("batch_id"), F.lit("semantic").alias("layer"), "check_name", "expected", "actual", "explained", "status"), batch)
 
 
 def live_match(records: list[dict], spark: SparkSession) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators import audit
+from granary.plans import consumers
 from granary.plans.lakehouse import Lakehouse, live_match
 from granary.sources.generator import DATES
 
@@ -77,6 +78,17 @@ def test_time_travel(house):
     assert k.count() == 2 and k.where("casa_ratio BETWEEN 0 AND 1").count() == 2
 
 
+def test_consumers(house):
+    checks = house.read("ref", "recon_results").where("layer = 'semantic'")
+    assert checks.count() == 12 and checks.where("status <> 'MATCHED'").count() == 0
+    for view in (consumers.dash_recon, consumers.dash_load_audit, consumers.dash_match_pair, consumers.dash_party_xref, consumers.dash_golden_party, consumers.dash_aml_alert):
+        assert view(house).count() > 0
+    why = rows(consumers.unresolved(house, DATES[0]), "why")
+    assert set(why) <= {("QUARANTINED",), ("NOT_YET_RECEIVED",)} and why
+    assert house.read("semantic", "reg_asset_classification").select("reporting_date").distinct().count() == 2
+    assert consumers.mapping_gaps(house.read("gold", "dim_branch"), ["branch_code"]) != []
+
+
 def test_live_match(spark):
     a = {"src_system": "CBS", "src_key": "1", "full_name": "Mr. Ravi Kumar Sharma", "dob": "1980-01-02", "address": "1 MG Rd. Pune 411001"}
     b = {"src_system": "CRM", "src_key": "2", "full_name": "Sharma Ravi Kumer", "dob": "1980-01-02", "address": "1 MG Road, Pune 411001"}
