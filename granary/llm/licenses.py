@@ -59,10 +59,20 @@ def _either_case(word: str) -> str:
 
 
 def _whole(alternatives: list[str]) -> str:
-    """A pattern for whole words of either case."""
+    """A pattern for stretches that begin and end where words do."""
     return f"(?<!{_LETTER})(?:{'|'.join(alternatives)})(?!{_LETTER})"
 
 
+def _shared(words: list[str]) -> str:
+    """A pattern for any of some words in either case that reads common beginnings once."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    parts = [_either_case(head) + (_shared(rests) if len(rests) > 1 else _either_case(rests[0])) for head, rests in heads.items()]
+    return f"(?:{'|'.join(parts)}){'?' if '' in words else ''}" if parts else ""
+
+
 def template_words(templates: dict[str, str]) -> list[str]:
     return sorted({w for t in templates.values() for w in plain_words(t)})
 
@@ -70,7 +80,7 @@ def template_words(templates: dict[str, str]) -> list[str]:
 def frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[str, int]:
     """How often each of the templates' words occurs in all texts; absent ones 0.  As many numbers as templates have words."""
     wanted = template_words(templates)
-    found = F.regexp_extract_all("text", F.lit(_whole([_either_case(w) for w in sorted(wanted, key=len, reverse=True)])), F.lit(0))
+    found = F.regexp_extract_all("text", F.lit(_whole([_shared(wanted)])), F.lit(0))
     counts = texts(docs).select(F.explode(found).alias("w")).groupBy(small_letters(F.col("w")).alias("w")).count()
     return dict.fromkeys(wanted, 0) | {r["w"]: r["count"] for r in counts.collect()}
 
@@ -88,7 +98,7 @@ def prefixes(templates: dict[str, str], counts: dict[str, int], threshold: float
 
 def candidate_lines(text: Column, index: list[tuple]) -> Column:
     """The lines that hold a prefix word, as an array of (block, have): a line's number from 0 and its distinct words."""
-    pattern = _whole([_either_case(w) for w in sorted({r[0] for r in index}, key=len, reverse=True)])
+    pattern = _whole([_shared([r[0] for r in index])])
     numbered = F.transform(F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("block"), line.alias("line")))
     hits = F.filter(numbered, lambda x: x["line"].rlike(pattern))
     hits = F.transform(hits, lambda x: F.struct(x["block"].alias("block"), F.array_distinct(words(small_letters(x["line"]))).alias("have")))

@@ -54,3 +54,10 @@ def test_order_is_by_corpus_frequency(spark, odd):
 def test_words():
     assert licenses.plain_words("Ab9É-x_y") == ["ab9É", "x", "y"]
     assert re.fullmatch(licenses._either_case("a4"), "A4")
+
+
+def test_shared_beginnings():
+    words = licenses.template_words(licenses.TEMPLATES)
+    pattern = re.compile(licenses._shared(words))
+    assert all(pattern.fullmatch(w) and pattern.fullmatch(w.upper()) for w in words)
+    assert not any(pattern.fullmatch(w) for w in ("", "th", "licens", "licensedx", "wor", "xy"))
