@@ -5,6 +5,9 @@ segment is indexed once for each of its bits with that bit wiped out, so two suc
 a key the fingerprints are compared in full.  Only distinct fingerprints are indexed (copies share one), a task holds one
 bucket at a time and gives back a spanning forest of the links, not the links, and a bucket that could be large is cut further
 along the fingerprint's other bits before it reaches a task.
+
+Near copies by Jaccard similarity are a join of their own (keep_one): a prefix filter over shingle sets finds every pair that can
+be similar enough, and each pair is verified on the sets.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, texts
+from .common import small_batches, small_side, stored, texts
 
 SEED = 42
 #: Shingles whose bits are summed at a time, whatever the text's length.
@@ -32,21 +35,24 @@ EDGES = "a1 long, b1 long, a2 long, b2 long"
 INDEX_ROWS = 50_000
 
 
+def _shingles(text: str, words: int) -> list[bytes]:
+    split = text.encode("utf-8", "surrogatepass").lower().split()
+    if not split:
+        return []
+    if len(split) <= words:
+        return [b" ".join(split)]
+    return split if words == 1 else list(map(b" ".join, zip(*(split[i:] for i in range(words)), strict=False)))
+
+
 def fingerprint(text: str, words: int = 3, seed: int = SEED, unique: bool = False) -> int:
     """64-bit SimHash over the shingles of ASCII-blank-separated words, ASCII capitals lower-cased.
 
     Fewer words than a shingle has: the whole sequence is the one shingle; no word: 0.  A bit is 1 if over half of the
     shingles' XXH64 values have it; repeats count unless ``unique``.
     """
-    split = text.encode("utf-8", "surrogatepass").lower().split()
-    if not split:
+    shingles = _shingles(text, words)
+    if not shingles:
         return 0
-    if len(split) <= words:
-        shingles = [b" ".join(split)]
-    elif words == 1:
-        shingles = split
-    else:
-        shingles = list(map(b" ".join, zip(*(split[i:] for i in range(words)), strict=False)))
     if unique:
         shingles = list(set(shingles))
     digest, n = xxhash.xxh64_intdigest, len(shingles)
@@ -294,32 +300,220 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, segments: in
     return marks.join(named, "f0").select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Index bits of the five-word measure: two words change less than five do, so their fingerprints meet more often.
-NEAR = ({"words": 5}, {"words": 2, "seed": SEED}, {"words": 2, "seed": SEED + 1})
-#: Of 64 bits over five-word and 64 over two-word shingles, so many differ for two texts of Jaccard similarity 0.8 over five words, nearly always fewer.
-NEAR_BITS = 22
+#: Near copies: sets of so many-word shingles with a Jaccard similarity of SHARE[0] / SHARE[1] or more.
+WORDS, SHARE = 5, (4, 5)
+#: Counters of the order of shingles, and documents that are counted: they decide how fast, not what is found.
+SLOTS, SAMPLE = 1 << 16, 50_000
+#: A shingle in the prefix of more sets than this is met first by PIVOTS of them only, then by what isn't connected yet.
+CROWD, PIVOTS = 32, 4
+#: Bits of a set's parity sketch; two sketches differ in no more bits than the sets have members that aren't shared.
+PARITY = 512
+
+
+def shingle_set(text: str, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """XXH64 values of the distinct shingles of fingerprint(), as ordered signed integers."""
+    shingles = _shingles(text, words)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in shingles), "<u8", len(shingles)).view(np.int64))
+
+
+def _slot(values: np.ndarray) -> np.ndarray:
+    return (values.view(np.uint64) >> np.uint64(48)).astype(np.int64)
+
+
+def slot_counts(docs: DataFrame, row: str, most: int = SAMPLE) -> np.ndarray:
+    """How many shingles of about ``most`` documents fall into each of SLOTS slots: frequent shingles have full ones."""
+    spark, count = docs.sparkSession, docs.count()
+    if count > most:
+        docs = docs.where(F.pmod(F.xxhash64(row), F.lit(1 << 20)) < (most << 20) // count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                np.add.at(counts, _slot(shingle_set(text)), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    small_batches(spark)
+    found = texts(docs).select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
+
+
+def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
+    """doc_id, row, a, b (a digest of the shingle set), n (its size), sketch, prefix: as many of its shingles, rarest first, that a set
+    similar enough must hold one of them in its own prefix."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sizes, sketches, firsts = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                values = shingle_set(text)
+                digests.append(xxhash.xxh3_128_digest(values.tobytes()))
+                sizes.append(len(values))
+                sketches.append(np.packbits((np.bincount(values & (PARITY - 1), minlength=PARITY) & 1).astype(np.uint8)).tobytes())
+                shared = -(-len(values) * SHARE[0] // SHARE[1])
+                firsts.append(values[np.lexsort((values, sent.value[_slot(values)]))[: len(values) - shared + 1]])
+            both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            columns = [batch.column("doc_id"), batch.column(row), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), _lists(firsts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "a", "b", "n", "sketch", "prefix"])
+
+    small_batches(spark)
+    return texts(docs, row).mapInArrow(run, "doc_id long, row long, a long, b long, n long, sketch binary, prefix array<long>")
+
+
+def _may_be_near(n: tuple[np.ndarray, np.ndarray], at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of pairs of sets of n members that share the one at place ``at`` of their orders: whether the first shared one can be that.
+
+    Neither set may be too small for the other, and from there on enough members must be left.
+    """
+    part, whole = SHARE
+    return (whole * np.minimum(*n) >= part * np.maximum(*n)) & ((part + whole) * np.minimum(n[0] - at[0], n[1] - at[1]) >= part * (n[0] + n[1]))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], done: int = 1 << 17) -> Iterator[pa.Table]:
+    """Rows in order of ``key``, cut only between keys."""
+    held, size = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += len(batch)
+        last = batch.column("key")[-1].as_py()
+        if size < done or held[0].column("key")[0].as_py() == last:
+            continue
+        table = pa.Table.from_batches(held)
+        cut = int(np.searchsorted(table.column("key").to_numpy(), last))  # the last run may go on
+        yield table.slice(0, cut)
+        held, size = table.slice(cut).combine_chunks().to_batches(), len(table) - cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, row, n, at) in order of key -> pairs (x, y, null, ...) to verify, and the rows of crowded keys with y null."""
+    for table in _runs(batches):
+        keys, rows, n, at = (table.column(c).to_numpy() for c in ("key", "row", "n", "at"))
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        crowded = np.repeat(sizes > CROWD, sizes)
+        lefts, rights = [], []
+        free = np.flatnonzero(~crowded & np.repeat(sizes > 1, sizes))
+        for step in range(1, CROWD):
+            x = np.flatnonzero(keys[free[step:]] == keys[free[:-step]]) if step < len(free) else []
+            if not len(x):
+                break
+            lefts.append(free[x])
+            rights.append(free[x + step])
+        for first, size in zip(starts[sizes > CROWD], sizes[sizes > CROWD], strict=True):
+            members = np.arange(first, first + size)
+            for pivot in members[np.argsort(rows[members], kind="stable")[:PIVOTS]]:
+                lefts.append(np.full(size, pivot))
+                rights.append(members)
+        x, y = (np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64) for v in (lefts, rights))
+        keep = _may_be_near((n[x], n[y]), (at[x], at[y])) & (rows[x] != rows[y])
+        pairs = np.unique(np.sort(np.stack([rows[x[keep]], rows[y[keep]]], axis=1), axis=1), axis=0)
+        hot, none = np.flatnonzero(crowded), len(pairs)
+        for i in range(0, none, INDEX_ROWS):
+            part = pairs[i : i + INDEX_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), *[pa.nulls(len(part), pa.int64())] * 3], names=["x", "y", "key", "n", "at"])
+        for i in range(0, len(hot), INDEX_ROWS):
+            part = hot[i : i + INDEX_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[part]), pa.nulls(len(part), pa.int64()), *[pa.array(v[part]) for v in (keys, n, at)]], names=["x", "y", "key", "n", "at"])
+
+
+def _crowd_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, row, n, at, root, sketch) in order of key -> all pairs (x, y) of one key and different roots that may be near."""
+    part, whole = SHARE
+    for table in _runs(batches):
+        keys, row, n, at, root = (table.column(c).to_numpy() for c in ("key", "row", "n", "at", "root"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        for first, end in zip(starts, np.append(starts[1:], len(keys)), strict=True):
+            _, group, sizes = np.unique(root[first:end], return_inverse=True, return_counts=True)
+            # the largest group's members last: they aren't compared with each other
+            members = first + np.argsort(group == sizes.argmax(), kind="stable")
+            others = len(members) - int(sizes.max())
+            block = max(1, (1 << 20) // len(members))
+            for i in range(0, others, block):
+                x, y = np.meshgrid(np.arange(i, min(i + block, others)), np.arange(i, len(members)), indexing="ij")
+                ahead = x < y
+                x, y = members[x[ahead]], members[y[ahead]]
+                keep = (root[x] != root[y]) & _may_be_near((n[x], n[y]), (at[x], at[y]))
+                x, y = x[keep], y[keep]
+                unlike = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+                both = n[x] + n[y]
+                keep = unlike <= both - 2 * -(-part * both // (part + whole))
+                x, y = row[x[keep]], row[y[keep]]
+                for j in range(0, len(x), INDEX_ROWS):
+                    a, b = x[j : j + INDEX_ROWS], y[j : j + INDEX_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["x", "y"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, row: str) -> DataFrame:
+    """The pairs (x, y) of rows whose shingle sets are similar enough; only texts that stand in a pair are cut again."""
+    spark, (part, whole) = docs.sparkSession, SHARE
+    pairs = stored(pairs.distinct(), "pairs")
+    wanted = pairs.select(F.col("x").alias(row)).unionByName(pairs.select(F.col("y").alias(row))).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(row), _lists(found)], names=["row", "s"])
+
+    small_batches(spark)
+    sets = stored(texts(docs, row).join(small_side(wanted), row, "left_semi").select(row, "text").mapInArrow(run, "row long, s array<long>"), "sets")
+    both = pairs.join(sets.withColumnsRenamed({"row": "x", "s": "sx"}), "x").join(sets.withColumnsRenamed({"row": "y", "s": "sy"}), "y")
+    near = F.size(F.array_intersect("sx", "sy")).cast("long") * (part + whole) >= (F.size("sx").cast("long") + F.size("sy")) * part
+    return stored(both.where(near).select("x", "y"), "near")
+
+
+def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
+    """Links (x, y) that connect all rows of ``nodes`` (row, n, sketch, prefix; distinct sets) whose similarity reaches SHARE, directly or by others.
+
+    Every such pair shares a shingle in its prefixes.  Where few do, all pairs are verified.  Where many do, a few of them are
+    compared with all first, then all pairs that aren't connected by that.
+    """
+    spark = docs.sparkSession
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(INDEX_ROWS))
+        return rows.repartition("key").sortWithinPartitions("key")
+
+    index = nodes.select("row", "n", F.posexplode("prefix").alias("at", "key")).select("key", "row", "n", F.col("at").cast("long").alias("at"))
+    first = stored(in_order(index).mapInArrow(_first_pairs, "x long, y long, key long, n long, at long"), "first-pairs")
+    near = _verified(first.where("y IS NOT NULL").select("x", "y"), docs, row)
+    crowd = first.where("y IS NULL").select("key", F.col("x").alias("row"), "n", "at")
+    if not crowd.take(1):
+        return near
+    roots = components(near).withColumnRenamed("node", "row")
+    crowd = crowd.join(nodes.select("row", "sketch"), "row").join(roots, "row", "left").select("key", "row", "n", "at", F.coalesce("root", "row").alias("root"), "sketch")
+    return near.unionByName(_verified(stored(in_order(crowd).mapInArrow(_crowd_pairs, "x long, y long"), "crowd-pairs"), docs, row))
 
 
-def keep_one(docs: DataFrame, segments: int = 3, most: int = NEAR_BITS) -> DataFrame:
-    """Documents without near copies: of each group over five-word shingles at a similarity of about 0.8 or more one row stays.
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Documents without near copies: of each group that links of Jaccard similarity 0.8 or more over five-word shingles connect, one row stays.
 
-    Similarity is read off the fingerprints: 64 bits over five-word and 64 over two-word shingles.  Candidates are those that
-    differ by at most one bit in one of six segments of two two-word fingerprints.  Equal texts are one group, however
-    short, and so are all texts without a word (null counts as empty).  The row with the smallest doc_id stays, a null
-    doc_id last; of repeated rows one stays.  Columns and their values are those of docs, whatever their names.
+    Exact: a prefix filter misses no such pair, and every link is verified on the sets of shingles (repeats don't count).  Equal
+    texts are one group, however short, and so are all texts without a word (null counts as empty).  The row with the smallest
+    doc_id stays, a null doc_id last; of repeated rows one stays.  Columns and their values are those of docs, whatever their names.
     """
     row = "_row"
     while row in docs.columns:
         row += "_"
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-in")
-    marks = stored(fingerprints(whole, list(NEAR), row).withColumnRenamed(row, "row"), "fingerprints")
-    nodes = stored(marks.groupBy("f0", "f1").agg(F.min("f2").alias("f2"), F.min("row").alias("first")).withColumnsRenamed({"f0": "a", "f1": "b"}), "nodes")
-    ids = nodes.select("a", "b", "first")
-    pairs = links(nodes, ["b", "f2"], segments, most)
-    for n, name in ((1, "x"), (2, "y")):
-        pairs = pairs.join(ids.withColumnsRenamed({"a": f"a{n}", "b": f"b{n}", "first": name}), [f"a{n}", f"b{n}"])
-    roots = components(pairs.select("x", "y"))
-    placed = ids.join(roots.withColumnRenamed("node", "first"), "first", "left").select(F.col("a").alias("f0"), F.col("b").alias("f1"), F.coalesce("root", "first").alias("root"))
-    members = marks.join(placed, ["f0", "f1"])
+    marks = stored(prefixes(whole, row, slot_counts(whole, row)), "prefixes")
+    nodes = stored(marks.groupBy("a", "b").agg(F.min("row").alias("first")), "nodes")
+    distinct = marks.join(nodes.select(F.col("first").alias("row")), "row", "left_semi")
+    roots = components(near_links(distinct, whole, row))
+    placed = nodes.join(roots.withColumnRenamed("node", "first"), "first", "left").select("a", "b", F.coalesce("root", "first").alias("root"))
+    members = marks.select("doc_id", "row", "a", "b").join(placed, ["a", "b"])
     stay = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias(row))
     return whole.join(stay, row, "left_semi").select(*[whole[f"`{c}`"] for c in docs.columns])

@@ -110,3 +110,52 @@ def test_keep_one(spark, odd, nothing):
     assert simhash.keep_one(nothing).collect() == []
     once = simhash.keep_one(odd.unionByName(odd)).collect()
     assert len(once) < odd.count() and len({r.text for r in once if r.text}) == len([r for r in once if r.text])
+
+
+def plain_set(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_groups(rows):
+    """(doc_id, text) -> the smallest doc_id of each component over all pairs at 0.8 or more."""
+    sets, root = [plain_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(least.values())
+
+
+def kept(spark, odd, rows):
+    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], odd.schema)).collect())
+
+
+def test_documents_below_the_threshold_stay(spark, odd, sf_dir):
+    """Pairs of Jaccard similarity 0.5 to 0.8 aren't near copies; the tables' own ones are those of all pairs."""
+    g = np.random.default_rng(11)
+    rows = []
+    for _ in range(40):
+        base = [f"w{i}" for i in g.integers(0, 4000, 300)]
+        copy = list(base)
+        for at in g.choice(300, 10, replace=False):
+            copy[at] = "changed"
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
+    assert all(0.5 < jaccard(plain_set(rows[i][1]), plain_set(rows[i + 1][1])) < 0.8 for i in range(0, 80, 2))
+    assert kept(spark, odd, rows) == list(range(80))
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert kept(spark, odd, rows) == plain_groups(rows)
