@@ -159,3 +159,36 @@ def test_documents_below_the_threshold_stay(spark, odd, sf_dir):
     assert kept(spark, odd, rows) == list(range(80))
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert kept(spark, odd, rows) == plain_groups(rows)
+
+
+@pytest.mark.parametrize("crowd", [32, 2])
+def test_all_near_copies_are_found(spark, odd, monkeypatch, crowd):
+    """Appended and replaced passages and scattered changes around 0.8, also where keys are crowded, against all pairs."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "PIVOTS", 1)
+    g = np.random.default_rng(12)
+    word = lambda n: [f"w{i}" for i in g.integers(0, 3000, n)]
+    rows, pairs = [], {}
+    for i in range(240):
+        base = word(int(g.integers(60, 400)))
+        n = len(base)
+        size = int(n * g.uniform(0.02, 0.24))
+        if i % 3 == 0:
+            copy = base + word(size)
+        elif i % 3 == 1:
+            at, size = int(g.integers(0, n - size // 2)), size // 2
+            copy = base[:at] + word(size) + base[at + size :]
+        else:
+            copy = list(base)
+            for at in g.choice(n, max(1, size // 10), replace=False):
+                copy[at] = "changed"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        pairs[i] = jaccard(plain_set(rows[-2][1]), plain_set(rows[-1][1]))
+    base = word(150)
+    for _ in range(60):  # one group around a text, its members at 0.6 to 1 from each other
+        copy = list(base)
+        for at in g.choice(150, int(g.integers(0, 6)), replace=False):
+            copy[at] = f"c{int(g.integers(0, 9))}"
+        rows.append((len(rows), " ".join(copy)))
+    assert sum(0.8 <= j < 0.9 for j in pairs.values()) > 60 and sum(j < 0.8 for j in pairs.values()) > 20
+    assert kept(spark, odd, rows) == plain_groups(rows)
