@@ -192,3 +192,13 @@ def test_all_near_copies_are_found(spark, odd, monkeypatch, crowd):
         rows.append((len(rows), " ".join(copy)))
     assert sum(0.8 <= j < 0.9 for j in pairs.values()) > 60 and sum(j < 0.8 for j in pairs.values()) > 20
     assert kept(spark, odd, rows) == plain_groups(rows)
+
+
+def test_a_repeated_line_makes_no_near_copies(spark, odd):
+    g = np.random.default_rng(13)
+    word = lambda n: " ".join(f"w{i}" for i in g.integers(0, 4000, n))
+    rows = []
+    for times, own in [(30, 100)] * 10 + [(20, 200)] * 10:
+        line = word(12)
+        rows += [(len(rows) + i, "\n".join([line] * times) + "\n" + word(own)) for i in range(2)]
+    assert kept(spark, odd, rows) == list(range(40))
