@@ -4,9 +4,9 @@ Base spans are pattern matches.  Beside them, every long unbroken stretch is a c
 characters (hex, base32 or base64), and three tests ask whether it looks like uniform draws from that alphabet: the
 chi-squared statistic of its symbol counts, the number of runs above and below the alphabet's middle, and the lag-one serial
 correlation of symbol values.  The last two must not reject randomness.  The chi-squared statistic becomes evidence by its
-lower tail under text: were the stretch drawn from the symbol shares that all candidates of its encoding have, the statistic would be
+lower tail under text: were the stretch drawn from the shares that its encoding's symbols have in ordinary words, the statistic would be
 noncentral with a noncentrality that grows with length, so short stretches need to look more even than long ones to
-count.  Benjamini and Hochberg's step-up over all candidates of the corpus then holds the expected share of
+count.  Ordinary words aren't under test, so a corpus of many secrets makes none of them look like text.  Benjamini and Hochberg's step-up over all candidates of the corpus then holds the expected share of
 text among the spans that are added.
 """
 
@@ -24,6 +24,14 @@ ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 LEAST_VALUE = 6
 #: Candidates: maximal stretches of the base64 alphabets (the look-behind only says where they can begin).
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+#: Ordinary words: short stretches of small letters with or without a capital, of capitals, or of digits; keys hardly ever are that.
+ORDINARY = r"(?<![A-Za-z0-9+/_-])(?:[A-Z]?[a-z]{1,18}|[A-Z]{1,19}|[0-9]{1,19})(?![A-Za-z0-9+/_-])"
+#: Words that are counted with those of the corpus, which may have none.
+USUAL = (
+    "It was a bright cold day in April and the clocks were striking thirteen when All of the people who had come to see what was going on went back "
+    "to their houses In the year 1984 more than 200 of them lived there FOR SALE OR RENT BY THE OWNER NOTICE TO ALL WHO ENTER THIS PLACE Some had "
+    "worked on it for 12 years while others did not know that anything had changed at all before the end of 2003 A new road was built next to the river"
+)
 #: Symbols of the inferred encodings, in order of value.
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
 KINDS = ("assign", "access", "hex", "random")
@@ -69,10 +77,16 @@ def symbols(spans: DataFrame) -> DataFrame:
     )
 
 
+def ordinary(docs: DataFrame) -> DataFrame:
+    """word: the ordinary words of all texts as often as they occur, and the usual ones, often enough to count where there is nothing else."""
+    found = texts(docs).select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("word"))
+    return found.unionByName(docs.sparkSession.range(1).select(F.explode(F.flatten(F.array_repeat(F.split(F.lit(USUAL), " "), 20))).alias("word")))
+
+
 def background(spans: DataFrame) -> DataFrame:
     """encoding, excess: how far text is from uniform, k times the summed squares of (share - 1/k), where a symbol's share is
-    its part, plus one, of all characters of all candidates that the encoding has.  A few rows, from counts of characters."""
-    seen = spans.select(F.explode(F.split("word", "")).alias("c")).where("c != ''").groupBy("c").count()
+    its part, plus one, of all characters of all words that the encoding has.  A few rows, from counts of words."""
+    seen = stored(spans.groupBy("word").count().select(F.explode(F.split("word", "")).alias("c"), "count").where("c != ''").groupBy("c").agg(F.sum("count").alias("count")), "symbols")
     parts = []
     for name, alphabet in ALPHABETS.items():
         symbol = "lower(c)" if name == "hex" else "translate(c, '-_', '+/')"
@@ -126,15 +140,15 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, *more: str) -> DataFrame:
     """Every row's secrets: doc_id, the columns ``more``, assign, access, hex, random: arrays of (s, e, word), base and random spans.
 
-    Whole texts; null counts as empty.  Candidates that lie inside a base span aren't repeated.  The table is scanned once; the narrow
-    result of patterns is stored, and only candidates are shuffled, by row.  Repeated rows each keep their spans; an empty table
+    Whole texts; null counts as empty.  Candidates that lie inside a base span aren't repeated.  The table is scanned for patterns, whose
+    narrow result is stored, and for counts of ordinary words; only counts and candidates are shuffled, the latter by row.  Repeated rows each keep their spans; an empty table
     gives no rows.
     """
     source, text = texts(docs, *more), F.col("text")
     base = source.select("doc_id", *more, matches(text, ASSIGN, 2, LEAST_VALUE).alias("assign"), matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"), matches(text, CANDIDATE).alias("stretch"), F.monotonically_increasing_id().alias("_row"))
     base = stored(base, "patterns")
     spans = base.select("_row", F.explode(F.expr("filter(stretch, x -> NOT exists(concat(assign, access, hex), y -> y.s <= x.s AND x.e <= y.e))")).alias("x")).select("_row", "x.*")
-    added = discoveries(stored(battery(symbols(spans), background(spans)).select("_row", "s", "e", "word", "p"), "battery"))
+    added = discoveries(stored(battery(symbols(spans), background(ordinary(docs))).select("_row", "s", "e", "word", "p"), "battery"))
     added = added.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "word"))).alias("random"))
     return base.join(added, "_row", "left").select("doc_id", *more, "assign", "access", "hex", F.coalesce("random", F.array().cast("array<struct<s:int,e:int,word:string>>")).alias("random"))
 

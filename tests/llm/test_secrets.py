@@ -100,3 +100,17 @@ def test_random_stretches_are_added_and_words_are_not(spark, odd):
     assert len(found & set(keys)) >= 36
     assert len(found - set(keys)) <= 3
     assert all(r.random == sorted(r.random) for r in rows)
+
+
+@pytest.mark.parametrize("n_keys, length, words", [(40, 40, True), (2000, 24, True), (2000, 88, True), (600, 40, False)])
+def test_frequent_secrets_are_found(spark, odd, n_keys, length, words):
+    """A source of bare keys doesn't hide itself or a key elsewhere."""
+    g = random.Random(8)
+    text = lambda n: " ".join("".join(g.choices("etaoinshrdlcumwfgypbvk", weights=[127, 91, 82, 75, 70, 67, 63, 61, 60, 43, 40, 28, 28, 24, 24, 22, 20, 20, 19, 15, 10, 8], k=g.choice([3, 5, 8]))) for _ in range(n))
+    keys = ["".join(g.choices(secrets.ALPHABETS["base64"][:62], k=length)) for _ in range(n_keys)]
+    plain_stretches = ["-" * 30, "the-long-and-winding-road-that-leads", "internationalisation/localisation/settings", "averyveryverylongcompoundword"] * 9
+    rows = keys + [f"{text(60)} {s} {text(60)}" for s in plain_stretches] * words
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(rows)], odd.schema)
+    found = {x.word for r in secrets.scan(docs).collect() for x in r.random}
+    assert len(found & set(keys)) >= 0.95 * n_keys
+    assert len(found - set(keys)) <= 0.02 * n_keys, found - set(keys)
