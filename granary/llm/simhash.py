@@ -305,7 +305,7 @@ WORDS, SHARE = 5, (4, 5)
 #: Counters of the order of shingles, and documents that are counted: they decide how fast, not what is found.
 SLOTS, SAMPLE = 1 << 16, 50_000
 #: A shingle in the prefix of more sets than this is met first by PIVOTS of them only, then by what isn't connected yet.
-CROWD, PIVOTS = 32, 4
+CROWD, PIVOTS = 32, 1
 #: Bits of a set's parity sketch; two sketches differ in no more bits than the sets have members that aren't shared.
 PARITY = 512
 
@@ -457,10 +457,27 @@ def _crowd_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["x", "y"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, row: str) -> DataFrame:
-    """The pairs (x, y) of rows whose shingle sets are similar enough; only texts that stand in a pair are cut again."""
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (x, y) -> a spanning forest of a task's links."""
+    x = y = np.zeros(0, np.int64)
+    for batch in batches:
+        if len(batch):
+            x, y = forest(*(np.concatenate([old, batch.column(c).to_numpy()]) for old, c in ((x, "x"), (y, "y"))))
+    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
+    """Forests over the pairs (x, y) of rows whose shingle sets are similar enough.
+
+    Sketches rule out most other pairs; only texts that stand in a pair that is left are cut again.
+    """
     spark, (part, whole) = docs.sparkSession, SHARE
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = pairs.distinct()
+    for side in ("x", "y"):
+        pairs = pairs.join(nodes.select(F.col("row").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
+    unlike = F.expr(" + ".join(f"bit_count(CAST(conv(hex(substring(sx, {i}, 7)), 16, 10) AS BIGINT) ^ CAST(conv(hex(substring(sy, {i}, 7)), 16, 10) AS BIGINT))" for i in range(1, PARITY // 8 + 1, 7)))
+    most = F.expr(f"nx + ny - 2 * (({part} * (nx + ny) + {part + whole - 1}) DIV {part + whole})")
+    pairs = stored(pairs.where(unlike <= most).select("x", "y"), "pairs")
     wanted = pairs.select(F.col("x").alias(row)).unionByName(pairs.select(F.col("y").alias(row))).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,7 +489,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, row: str) -> DataFrame:
     sets = stored(texts(docs, row).join(small_side(wanted), row, "left_semi").select(row, "text").mapInArrow(run, "row long, s array<long>"), "sets")
     both = pairs.join(sets.withColumnsRenamed({"row": "x", "s": "sx"}), "x").join(sets.withColumnsRenamed({"row": "y", "s": "sy"}), "y")
     near = F.size(F.array_intersect("sx", "sy")).cast("long") * (part + whole) >= (F.size("sx").cast("long") + F.size("sy")) * part
-    return stored(both.where(near).select("x", "y"), "near")
+    return stored(both.where(near).select("x", "y").mapInArrow(_forests, "x long, y long"), "near")
 
 
 def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
@@ -489,13 +506,13 @@ def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
 
     index = nodes.select("row", "n", F.posexplode("prefix").alias("at", "key")).select("key", "row", "n", F.col("at").cast("long").alias("at"))
     first = stored(in_order(index).mapInArrow(_first_pairs, "x long, y long, key long, n long, at long"), "first-pairs")
-    near = _verified(first.where("y IS NOT NULL").select("x", "y"), docs, row)
+    near = _verified(first.where("y IS NOT NULL").select("x", "y"), nodes, docs, row)
     crowd = first.where("y IS NULL").select("key", F.col("x").alias("row"), "n", "at")
     if not crowd.take(1):
         return near
     roots = components(near).withColumnRenamed("node", "row")
     crowd = crowd.join(nodes.select("row", "sketch"), "row").join(roots, "row", "left").select("key", "row", "n", "at", F.coalesce("root", "row").alias("root"), "sketch")
-    return near.unionByName(_verified(stored(in_order(crowd).mapInArrow(_crowd_pairs, "x long, y long"), "crowd-pairs"), docs, row))
+    return near.unionByName(_verified(stored(in_order(crowd).mapInArrow(_crowd_pairs, "x long, y long"), "crowd-pairs"), nodes, docs, row))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
