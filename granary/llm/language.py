@@ -8,7 +8,6 @@ probabilities are the mean over its positions.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,16 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts
+from .common import small_batches, small_side, texts
 
 #: Bytes in a window, units of a state, windows that are labelled at a time.
 LENGTH, UNITS, BLOCK = 64, 12, 4096
-#: The sample: so many rows of each language (those with the smallest hash of doc_id), so many windows of each row.
-ROWS, WINDOWS = 500, 6
-#: Languages that can be learned: the most frequent ones.
-MOST_LANGUAGES = 100
+#: The sample: so many rows of each language, so many windows of each row, drawn evenly over its whole text.
+ROWS, WINDOWS = 500, 24
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (general category L); digits, marks and letter-like numbers aren't."""
+    return any(map(str.isalpha, text))
 
 
 class Layer:
@@ -157,17 +158,21 @@ class Network:
 
 
 def train(docs: DataFrame, labelled: DataFrame | None = None, rows: int = ROWS, windows: int = WINDOWS, rounds: int = 400) -> Network | None:
-    """Learn from text and lang of ``labelled`` (else docs): at most ``rows`` rows of each language, ``windows`` windows of each.
+    """Learn every non-null lang of ``labelled`` (else docs) from a bounded sample of its rows with a letter.
 
-    Rows without a language or a letter teach nothing; None if no row is left.
+    The bounds are ``rows`` rows of each language (those with the smallest hash of doc_id) and ``windows`` windows of each row, drawn
+    evenly over its whole text, however long.  Rows without a language, an id or a letter teach nothing; of repeated rows with one doc_id all
+    stand in the sample or none; other columns aren't read; None if no row is left.
     """
     spark = docs.sparkSession
     small_batches(spark)
     source = (docs if labelled is None else labelled).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    common = source.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
-    mark = F.xxhash64("doc_id")
-    ranked = source.select("doc_id", "lang").join(F.broadcast(common), "lang").withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(mark, "doc_id")))
-    chosen = ranked.where(F.col("_n") <= rows).select("doc_id").distinct()
+    # by its language's count a row's hash tells already whether it can be among the first; few are left to put in order
+    keys = source.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("mark"))
+    counts = small_side(keys.groupBy("lang").agg(F.count("*").alias("count")))
+    near = keys.join(counts, "lang").where(F.col("mark") * F.col("count") <= F.lit(float((2 * rows + 100) << 40)))
+    ranked = near.dropDuplicates(["doc_id", "lang"]).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id")))
+    chosen = ranked.where(F.col("n") <= rows).select("doc_id", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +185,7 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, rows: int = ROWS,
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.binary(), pa.string()), strict=True)], names=["doc_id", "x", "lang"])
 
-    sample = texts(source, "lang").join(F.broadcast(chosen), "doc_id").mapInArrow(cut, "doc_id long, x binary, lang string")
+    sample = texts(source, "lang").join(small_side(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang").mapInArrow(cut, "doc_id long, x binary, lang string")
     found = sorted((r["lang"], r["doc_id"], bytes(r["x"])) for r in sample.toArrow().to_pylist())
     if not found:
         return None
@@ -192,7 +197,8 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, rows: int = ROWS,
 def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language of every whole text and its mean probability.
 
-    A null text, one without a letter, or no network: "und" and 0.  Only text is read. No shuffle; repeated rows each get their own.
+    A null text, one without a letter, or no network: "und" and 0.  Only text is read. No shuffle; repeated rows each get their own;
+    an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(network)
@@ -201,7 +207,7 @@ def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
         known = sent.value
         for batch in batches:
             whole = batch.column("text").to_pylist()
-            at = [i for i, t in enumerate(whole) if known and _LETTER.search(t)]
+            at = [i for i, t in enumerate(whole) if known and has_letter(t)]
             names, scores = [UNKNOWN] * len(whole), [0.0] * len(whole)
             if at:
                 p = known.pooled([whole[i].encode("utf-8", "surrogatepass") for i in at])

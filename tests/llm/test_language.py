@@ -49,6 +49,36 @@ def test_op7_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows.values())
 
 
+def test_letters():
+    assert not any(map(language.has_letter, ["", " ", "123", "²½ Ⅷ ①", "_-:", "৩", "\u0301"]))
+    assert all(map(language.has_letter, ["a", "1é", "日", "ʰ", "ª"]))
+
+
+def test_letters_in_documents(spark, odd):
+    docs = spark.createDataFrame([(1, "²½ Ⅷ ①", "en", None, None), (2, "plain words here", "en", None, None), (3, "_ 5", "xx", None, None)], odd.schema)
+    net = language.train(docs, rounds=3)
+    assert net.labels == ["en"]
+    assert [r.lang_pred for r in language.predicted(docs, net).orderBy("doc_id").collect()] == ["und", "en", "und"]
+
+
+def test_every_language_is_learned(spark, odd):
+    """More languages than a hundred, one of them with a third of the rows."""
+    rows = [(i, f"{chr(0x4E00 + k)} word{k} ", f"l{k:03}", None, None) for i, k in enumerate([*range(130)] * 4 + [7] * 260)]
+    docs = spark.createDataFrame(rows, odd.schema)
+    net = language.train(docs, rows=3, windows=1, rounds=2)
+    assert net.labels == sorted({r[2] for r in rows})
+
+
+def test_sample_is_bounded_and_whole(spark, odd, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language.Network, "fit", lambda self, x, y, rounds: seen.update(x=x, y=y) or self)
+    text = "".join(chr(97 + i // 4000) * 1 for i in range(26 * 4000))
+    docs = spark.createDataFrame([(i, text, "aa" if i % 3 else "bb", None, None) for i in range(300)], odd.schema)
+    language.train(docs, rows=20, windows=50)
+    assert np.bincount(seen["y"]).tolist() == [1000, 1000]
+    assert len(np.unique(seen["x"])) == 26  # from all of a long text, its end included
+
+
 def test_odd_documents(spark, odd, clashing, nothing):
     for docs in (odd, clashing):
         net = language.train(docs, rounds=5)
