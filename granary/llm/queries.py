@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import licenses
 from .common import work_folder
 
 
@@ -46,9 +47,7 @@ def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .licenses import scan
-
-    return scan(_documents(spark, sf_dir))
+    return licenses.scan(_documents(spark, sf_dir))
 
 
 def op7_bigru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +91,7 @@ QUERIES = {
     "op10_temperature_mixing": op10_temperature_mixing,
 }
 ORACLES: dict[str, str] = {
+    "op6_license_join": licenses.oracle(),
     "op9_dual_cover_tree": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
