@@ -41,20 +41,43 @@ FALSE_DISCOVERY, AGAINST = 0.01, 0.001
 MOST_BINS = 30_000
 
 
+#: Elements that are summed up at a time.
+RUN = 256
+
+
+def _held(value: Column, use) -> Column:
+    """use(value), where value is worked out once however often use has it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op) -> Column:
+    """From numbers x0, x1, ... (0 or more, not null) the numbers x0, op(x0, x1), ...; op has 0 as its zero.
+
+    A fold that appends copies all it has at each step; so short runs are folded each, then the runs' ends, and both are put together.
+    """
+    append = lambda a, x: F.concat(a, F.array(op(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)), x)))
+    none = F.array().cast("array<int>")
+
+    def whole(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda i: F.aggregate(F.slice(v, i * RUN + 1, F.lit(RUN)), none, append))
+        return _held(runs, lambda r: _held(F.aggregate(r, F.array(F.lit(0)), lambda a, x: append(a, F.get(x, F.size(x) - 1))), lambda before: F.flatten(F.transform(r, lambda x, i: F.transform(x, lambda y: op(F.get(before, i), y))))))
+
+    return _held(values, lambda v: F.when(F.size(v) > 0, whole(v)).otherwise(none))
+
+
 def matches(text: Column, pattern: str, group: int | None = None, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as an array of (s, e, word), code points from 0 and the match; those whose group is
     shorter than ``least`` are dropped after matching.  Positions are running sums over the pieces between matches."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    steps = F.zip_with(F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("p"), found.alias("m")), value, lambda x, v: F.struct(F.length(x["p"]).alias("gap"), x["m"].alias("m"), F.length(v).alias("n")))
-    none = F.array().cast("array<struct<s:int,e:int,word:string,n:int>>")
 
-    def step(seen: Column, x: Column) -> Column:
-        start = F.coalesce(F.get(seen, F.size(seen) - 1)["e"], F.lit(0)) + x["gap"]
-        return F.concat(seen, F.array(F.struct(start.alias("s"), (start + F.length(x["m"])).alias("e"), x["m"].alias("word"), x["n"].alias("n"))))
+    def placed(x: Column) -> Column:
+        ends = running(F.zip_with(F.slice(x["pieces"], F.lit(1), F.size(x["found"])), x["found"], lambda p, m: F.length(p) + F.length(m)), lambda a, b: a + b)
+        rows = F.zip_with(F.arrays_zip(ends.alias("e"), x["found"].alias("m")), x["value"], lambda m, v: F.struct((m["e"] - F.length(m["m"])).alias("s"), m["e"].alias("e"), m["m"].alias("word"), F.length(v).alias("n")))
+        return F.transform(F.filter(rows, lambda r: r["n"] >= least), lambda r: F.struct(r["s"].alias("s"), r["e"].alias("e"), r["word"].alias("word")))
 
-    kept = F.filter(F.aggregate(steps, none, step), lambda x: x["n"] >= least)
-    return F.when(text.rlike(pattern), F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["word"].alias("word")))).otherwise(F.array().cast("array<struct<s:int,e:int,word:string>>"))
+    found = _held(F.struct(pieces.alias("pieces"), found.alias("found"), value.alias("value")), placed)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<s:int,e:int,word:string>>"))
 
 
 def _two_sided(z: str) -> str:
@@ -147,7 +170,10 @@ def scan(docs: DataFrame, *more: str) -> DataFrame:
     source, text = texts(docs, *more), F.col("text")
     base = source.select("doc_id", *more, matches(text, ASSIGN, 2, LEAST_VALUE).alias("assign"), matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"), matches(text, CANDIDATE).alias("stretch"), F.monotonically_increasing_id().alias("_row"))
     base = stored(base, "patterns")
-    spans = base.select("_row", F.explode(F.expr("filter(stretch, x -> NOT exists(concat(assign, access, hex), y -> y.s <= x.s AND x.e <= y.e))")).alias("x")).select("_row", "x.*")
+    # a stretch lies in a base span if one of those that begin before it, or with it, reaches as far
+    both = base.where("size(stretch) > 0").select("_row", F.explode(F.expr("concat(transform(concat(assign, access, hex), x -> struct(x.s, x.e, x.word, 0 AS own)), transform(stretch, x -> struct(x.s, x.e, x.word, 1 AS own)))")).alias("x")).select("_row", "x.*")
+    reach = F.max(F.when(F.col("own") == 0, F.col("e"))).over(Window.partitionBy("_row").orderBy("s", "own").rowsBetween(Window.unboundedPreceding, 0))
+    spans = both.withColumn("reach", reach).where("own = 1 AND (reach IS NULL OR reach < e)").select("_row", "s", "e", "word")
     added = discoveries(stored(battery(symbols(spans), background(ordinary(docs))).select("_row", "s", "e", "word", "p"), "battery"))
     added = added.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "word"))).alias("random"))
     return base.join(added, "_row", "left").select("doc_id", *more, "assign", "access", "hex", F.coalesce("random", F.array().cast("array<struct<s:int,e:int,word:string>>")).alias("random"))
@@ -173,8 +199,26 @@ def masked(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("whole_row")
     found = scan(docs.select("doc_id", "text", row), "whole_row")
     spans = F.expr("array_sort(transform(concat(assign, access, hex, random), x -> struct(x.s AS s, x.e AS e)))")
-    merged = "aggregate(spans, CAST(array() AS array<struct<s:int,e:int>>), (a, x) -> IF(size(a) > 0 AND x.s < get(a, size(a) - 1).e, concat(slice(a, 1, size(a) - 1), array(struct(get(a, size(a) - 1).s AS s, greatest(get(a, size(a) - 1).e, x.e) AS e))), concat(a, array(x))))"
-    found = found.select("whole_row", F.when(F.size(spans) > 0, spans).alias("spans")).withColumn("spans", F.when(F.col("spans").isNotNull(), F.expr(merged)))
-    text = f"concat(array_join(transform(spans, (x, i) -> concat(substring(whole_row.text, IF(i = 0, 0, get(spans, i - 1).e) + 1, x.s - IF(i = 0, 0, get(spans, i - 1).e)), '{mark}')), ''), substring(whole_row.text, get(spans, size(spans) - 1).e + 1))"
-    new = F.when(F.col("spans").isNull(), F.col("whole_row.text")).otherwise(F.expr(text))
+    new = F.when(F.size("assign") + F.size("access") + F.size("hex") + F.size("random") == 0, F.col("whole_row.text")).otherwise(_held(spans, lambda v: _without(F.col("whole_row.text"), v, mark)))
     return found.select(*[(new if c == "text" else F.col("whole_row").getField(c)).alias(c) for c in docs.columns])
+
+
+def _without(text: Column, spans: Column, mark: str) -> Column:
+    """text with ``mark`` for each stretch that the ordered spans (s, e), one at least, cover together.
+
+    Spans that overlap others before them begin no piece of their own.  The text is cut into long parts first, each with a run of
+    marks, so that no cut has to count its way through all of it.
+    """
+    ends = running(F.transform(spans, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+    # (begin of the text that stays, its end): before each stretch, then what is left at the end
+    starts = lambda reach: F.filter(F.transform(spans, lambda x, i: F.struct(F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0)).alias("b"), x["s"].alias("s"), (i == 0).alias("first"))), lambda x: x["first"] | (x["s"] >= x["b"]))
+
+    def pieces(gaps: Column, last: Column) -> Column:
+        def part(k: Column) -> Column:
+            own = F.slice(gaps, k * RUN + 1, F.lit(RUN))
+            begin = lambda o: F.get(o, F.lit(0))["b"]
+            return _held(own, lambda o: _held(text.substr(begin(o) + 1, F.get(o, F.size(o) - 1)["s"] - begin(o)), lambda t: F.array_join(F.transform(o, lambda x: F.concat(t.substr(x["b"] - begin(o) + 1, x["s"] - x["b"]), F.lit(mark))), "")))
+
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / RUN).cast("int")), part), ""), text.substr(last + 1, F.length(text)))
+
+    return _held(ends, lambda reach: _held(starts(reach), lambda gaps: pieces(gaps, F.get(reach, F.size(reach) - 1))))

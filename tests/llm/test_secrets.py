@@ -114,3 +114,33 @@ def test_frequent_secrets_are_found(spark, odd, n_keys, length, words):
     found = {x.word for r in secrets.scan(docs).collect() for x in r.random}
     assert len(found & set(keys)) >= 0.95 * n_keys
     assert len(found - set(keys)) <= 0.02 * n_keys, found - set(keys)
+
+
+def plain_masked(text, spans):
+    out, end = [], 0
+    for s, e in sorted(spans):
+        if s >= end or not out:
+            out.append(text[end:s] + "[SECRET]")
+        end = max(end, e)
+    return "".join(out) + text[end:]
+
+
+def test_very_many_matches_in_one_text(spark, odd):
+    """More matches than are folded at a time, of all kinds, some within others: as in the plain version, and not in quadratic time."""
+    rng = random.Random(3)
+    parts = ["token=abcdefgh", "é secret: 'xyzxyzxyz'", "AKIA" + "Q7" * 9, "0123456789abcdef" * 2, "token=" + "ab12" * 8, "plain words", "𝔘"]
+    texts = [" ".join(rng.choice(parts) for _ in range(n)) for n in (1, 255, 256, 257, 513, 3000)] + ["token=abcdefgh " * 40_000]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], odd.schema)
+    got = secrets.digest(secrets.scan(docs)).collect()
+    for r in got:
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == tuple(plain(texts[r.doc_id])[:4])
+    spans = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",")] for r in got if r.spans}
+    for r in secrets.masked(docs).collect():
+        assert r.text == plain_masked(texts[r.doc_id], spans.get(r.doc_id, []))
+
+
+def test_running(spark):
+    for n in (0, 1, 2, 255, 256, 257, 1000):
+        xs = [(i * 7919) % 101 for i in range(n)]
+        sums, most = spark.createDataFrame([(xs,)], "v array<int>").select(secrets.running(F.col("v"), lambda a, b: a + b), secrets.running(F.col("v"), lambda a, b: F.greatest(a, b))).first()
+        assert sums == [sum(xs[: i + 1]) for i in range(n)] and most == [max(xs[: i + 1]) for i in range(n)]
