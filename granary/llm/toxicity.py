@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts
+from .common import small_batches, stored, texts
 
 #: Grades: 0 none, 1 mild, 2 strong, 3 severe; a toxic row's is 1 + the number of these counts that its telling words exceed.
 STEPS = (1, 4)
@@ -70,29 +70,21 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(value - self.thresholds, -500, 500)))
 
 
-def fit(marks: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, rounds: int = 300, rate: float = 0.3, ridge: float = 1e-3) -> Ordinal:
+def fit(names: np.ndarray, marks: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, telling: np.ndarray, rounds: int = 300, rate: float = 0.3, ridge: float = 1e-3) -> Ordinal:
     """Maximum likelihood with a ridge on the weights, by full-batch adaptive gradient steps; without both classes nothing is rejected.
 
-    marks: the rows' features in turn; sizes: how many each row has.
+    names: the features that can have a weight, ascending; marks: the rows' features among them in turn; sizes: how many each row has;
+    telling: how many telling words each row has.
     """
     toxic, n = np.asarray(toxic, bool), len(sizes)
     if not n or toxic.all() or not toxic.any():
         return Ordinal(np.zeros(0, np.int64), np.zeros(0), 50.0 + np.arange(GRADES - 1))
     row = np.repeat(np.arange(n), sizes)
-    no, yes = (np.bincount(marks[toxic[row] == side], minlength=SPACE).astype(float) for side in (False, True))
     n_no, n_yes = (~toxic).sum(), toxic.sum()
-    odds = np.log((yes + 0.5) / (n_yes + 1)) - np.log((no + 0.5) / (n_no + 1))
-    share = (yes + no + 0.5) / (n_yes + n_no + 1)
-    evidence = np.abs(yes / n_yes - no / n_no) / np.sqrt(share * (1 - share) * (1 / n_yes + 1 / n_no))
-    kept = np.argsort(-evidence, kind="stable")[:KEEP]
-    names = np.sort(kept[evidence[kept] > LEAST])
     grades = toxic.astype(int)
     for step in STEPS:
-        grades[toxic] += (np.bincount(row[((odds > 3) & (yes >= 5))[marks]], minlength=n) > step)[toxic]
-    column = np.full(SPACE, -1)
-    column[names] = np.arange(len(names))
-    column = column[marks]
-    row, column = row[column >= 0], column[column >= 0]
+        grades[toxic] += (np.asarray(telling) > step)[toxic]
+    column = np.searchsorted(names, marks)
     weights = np.zeros(len(names))
     level = np.array([max((grades > k).mean(), 0.5 / n) for k in range(GRADES - 1)])
     # thresholds as the first and positive steps above it, so their order holds
@@ -130,26 +122,54 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "marks"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
-    """Fit on labelled documents: at most ``sample`` of each class, those with the smallest hash of doc_id, reach the driver, as
-    hashed features.  Labels that are null, or of a document that isn't there, are left out."""
+def evidence(marked: DataFrame, n_yes: int, n_no: int) -> DataFrame:
+    """mark, evidence, odds, yes of each feature of rows (toxic, marks): by how many standard errors its shares in the classes are
+    apart, the logarithm of their ratio, and how many toxic rows have it."""
+    counts = marked.select("toxic", F.explode("marks").alias("mark")).groupBy("mark").agg(F.sum("toxic").alias("yes"), F.sum(1 - F.col("toxic")).alias("no"))
+    share = (F.col("yes") + F.col("no") + 0.5) / (n_yes + n_no + 1)
+    apart = F.abs(F.col("yes") / n_yes - F.col("no") / n_no) / F.sqrt(share * (1 - share) * (1 / n_yes + 1 / n_no))
+    odds = F.log((F.col("yes") + 0.5) / (n_yes + 1)) - F.log((F.col("no") + 0.5) / (n_no + 1))
+    return counts.select("mark", apart.alias("evidence"), odds.alias("odds"), "yes")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = KEEP) -> Ordinal:
+    """Fit on labelled documents: at most ``sample`` of each class, those with the smallest hash of doc_id, and at most ``keep`` features.
+
+    Features are chosen on the executors; only those with evidence, and which row has which of them, reach the driver.  Labels that are null,
+    or of a document that isn't there, are left out; of several labels of a document the higher counts; repeated rows of a document each count;
+    an empty table, or one class only, gives a model that rejects nothing.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     chosen = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = [chosen.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for side in (0, 1)]
-    rows = texts(docs).join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("toxic", "text").mapInArrow(_marked, "toxic int, marks array<int>")
-    table = rows.toArrow().combine_chunks()
-    if not len(table):
-        return fit(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool))
+    marked = stored(texts(docs).join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("toxic", "text").mapInArrow(_marked, "toxic int, marks array<int>"), "marked")
+    n_yes, n_no = marked.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
+    if not n_yes or not n_no:
+        return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0))
+    known = stored(evidence(marked, n_yes, n_no).where(f"evidence > {LEAST} OR (odds > 3 AND yes >= 5)"), "evidence")
+    names = np.sort(known.where(f"evidence > {LEAST}").orderBy(F.desc("evidence"), "mark").limit(keep).select("mark").toArrow().column(0).to_numpy())
+    telling = np.sort(known.where("odds > 3 AND yes >= 5").select("mark").toArrow().column(0).to_numpy())
+    sent = spark.sparkContext.broadcast((names, telling))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, telling = sent.value
+        for batch in batches:
+            rows = [np.array(m, np.int32) for m in batch.column("marks").to_pylist()]
+            columns = [batch.column("toxic"), pa.array([int(np.isin(m, telling).sum()) for m in rows], pa.int32()), pa.array([m[np.isin(m, names)] for m in rows], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "telling", "marks"])
+
+    table = marked.mapInArrow(kept, "toxic int, telling int, marks array<int>").toArrow().combine_chunks()
     marks = table.column("marks").chunk(0)
-    return fit(marks.flatten().to_numpy(), np.diff(marks.offsets.to_numpy()), table.column("toxic").to_numpy())
+    return fit(names, marks.flatten().to_numpy(), np.diff(marks.offsets.to_numpy()), table.column("toxic").to_numpy(), table.column("telling").to_numpy())
 
 
 def scored(docs: DataFrame, model: Ordinal, *more: str) -> DataFrame:
     """doc_id, the columns ``more``, grade (the likeliest int), severity (its expectation, 0 to 3), p_toxic, toxic (0 or 1).
 
-    Whole texts; null counts as empty; a text without words gets the model's base rate.  No shuffle.
+    Whole texts; null counts as empty; a text without words gets the model's base rate; repeated rows each get their own; other columns
+    aren't read; an empty table gives no rows.  No shuffle.
     """
     source = texts(docs, *more)
     names = ["doc_id", *more]
