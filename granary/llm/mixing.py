@@ -79,6 +79,21 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def _summed(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """rows with ``before``: the sum of value over the rows of their group that stand before them in ``outer``.
+
+    A group may hold most of all rows, so it is cut at ranges of the hash that it is ordered by: sums run within a range, and over the ranges' totals.
+    """
+    ranged = rows.withColumn("range", F.shiftright(F.col("outer.h"), 52))
+    here = [*by, "range"]
+    totals = ranged.groupBy(*here).agg(F.sum(value).alias("total"))
+    ahead = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*here, F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy(*here).orderBy("outer").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return placed.join(totals, here).withColumn("before", F.col("ahead") + F.col("inside")).drop("range", "ahead", "inside")
+
+
 class Mixture:
     """Weights, epochs and cuts of the sources of docs (columns doc_id, text, source).
 
@@ -103,6 +118,7 @@ class Mixture:
             table.append((s["key"], x, s["tokens"], -(-s["docs"] // block), whole, max(0, int(math.floor(x * total - whole * t + 1e-6)))))
         self.sources = self.spark.createDataFrame(table, "key string, weight double, tokens long, blocks long, whole int, rest long")
         self.placed = self._placed(self.rows, self.sources)
+        self.blocks = stored(self.placed.groupBy("key", "block", "whole", "rest").agg(F.sum("n_tokens").alias("n")), "blocks")
         self.cuts = stored(self._cut(), "cuts")
 
     @staticmethod
@@ -114,10 +130,8 @@ class Mixture:
         partial = self.placed.where("rest > 0")
         row = {k: F.col(k) for k in ("key", "block", "mark")}
         outer, inner = _order(row, F.col("whole"))
-        blocks = partial.groupBy("key", "block", "whole", "rest").agg(F.sum("n_tokens").alias("n")).withColumn("outer", outer)
-        upto = Window.partitionBy("key").orderBy("outer").rowsBetween(Window.unboundedPreceding, 0)
-        ends = blocks.withColumn("end", F.sum("n").over(upto)).where("end > rest")
-        first = ends.groupBy("key").agg(F.min(F.struct("outer", "block", (F.col("end") - F.col("n")).alias("start"))).alias("x")).select("key", "x.*")
+        ends = _summed(self.blocks.where("rest > 0").withColumn("outer", outer), ["key"], "n").where("before + n > rest")
+        first = ends.groupBy("key").agg(F.min(F.struct("outer", "block", F.col("before").alias("start"))).alias("x")).select("key", "x.*")
         inside = partial.join(F.broadcast(first), ["key", "block"]).withColumn("inner", inner)
         within = Window.partitionBy("key").orderBy("inner").rowsBetween(Window.unboundedPreceding, 0)
         kept = inside.withColumn("end", F.col("start") + F.sum("n_tokens").over(within)).where("end <= rest").groupBy("key").agg(F.max("inner").alias("last"))
@@ -136,9 +150,8 @@ class Mixture:
         first token's place in its source's stream."""
         used = self._copies(self.placed).select("doc_id", "source", "key", "mark", "block", "weight", "tokens", "n_tokens", F.explode(F.expr("IF(epochs > 0, sequence(0, epochs - 1), array())")).alias("epoch"))
         outer, inner = _order({k: F.col(k) for k in ("key", "block", "mark")}, F.col("epoch"))
-        blocks = self.placed.groupBy("key", "block", "whole", "rest").agg(F.sum("n_tokens").alias("n")).withColumn("epoch", F.explode(F.expr("sequence(0, whole)")))
-        before = Window.partitionBy("key", "epoch").orderBy("outer").rowsBetween(Window.unboundedPreceding, -1)
-        starts = blocks.withColumn("outer", outer).select("key", "block", "epoch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("block_start"))
+        blocks = self.blocks.withColumn("epoch", F.explode(F.expr("sequence(0, whole)"))).withColumn("outer", outer)
+        starts = _summed(blocks, ["key", "epoch"], "n").select("key", "block", "epoch", F.col("before").alias("block_start"))
         within = Window.partitionBy("key", "block", "epoch").orderBy("inner").rowsBetween(Window.unboundedPreceding, -1)
         placed = used.withColumn("inner", inner).withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(starts, ["key", "block", "epoch"])
         return placed.select("doc_id", "source", "weight", "n_tokens", "epoch", "block", (F.col("epoch") * F.col("tokens") + F.col("block_start") + F.col("inside")).alias("start"))
