@@ -30,6 +30,8 @@ CHUNK = 1 << 15
 HEAVY = 8192
 #: Up to so many members all are compared in blocks; beyond, links of up to three bits meet at their common neighbours.
 PAIRWISE = 16_384
+#: Fingerprints that at least one in so many rows has aren't shuffled for.
+FEW = 2000
 EDGES = "a1 long, b1 long, a2 long, b2 long"
 #: Rows of two longs in an Arrow batch of the index.
 INDEX_ROWS = 50_000
@@ -291,19 +293,24 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, segments: in
     if most >= 2 * segments:
         raise ValueError("too few segments: one must differ by at most one bit")
     marks = stored(fingerprints(docs, [{"words": words}]), "fingerprints")
-    nodes = marks.groupBy("f0").agg(F.min("doc_id").alias("first")).select(F.col("f0").alias("a"), F.lit(0).cast("long").alias("b"), "first")
+    nodes = marks.groupBy("f0").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).select(F.col("f0").alias("a"), F.lit(0).cast("long").alias("b"), "first", "rows")
     nodes = stored(nodes, "nodes")
     roots = components(links(nodes.select("a", "b"), ["a"], segments, most).select(F.col("a1").alias("x"), F.col("a2").alias("y")))
-    placed = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left").select("a", "first", F.coalesce("root", "a").alias("root"))
+    placed = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left").select("a", "first", "rows", F.coalesce("root", "a").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(least, "root").select(F.col("a").alias("f0"), "component_id")
-    return marks.join(named, "f0").select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+    named = stored(placed.join(least, "root").select(F.col("a").alias("f0"), "component_id", "rows"), "named")
+    # a fingerprint of a large share of all rows meets them where they are: there are fewer than FEW of these
+    common = named.where(F.col("rows") * FEW > marks.count()).select("f0", F.col("component_id").alias("common_id"), F.lit(True).alias("is_common"))
+    rows = marks.join(F.broadcast(common), "f0", "left")
+    rest = rows.where("is_common IS NULL").join(named.select("f0", "component_id"), "f0").select("doc_id", "f0", "component_id")
+    found = rows.where("is_common").select("doc_id", "f0", F.col("common_id").alias("component_id")).unionByName(rest)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
 #: Near copies: sets of so many-word shingles with a Jaccard similarity of SHARE[0] / SHARE[1] or more.
 WORDS, SHARE = 5, (4, 5)
-#: Counters of the order of shingles, and documents that are counted: they decide how fast, not what is found.
-SLOTS, SAMPLE = 1 << 16, 50_000
+#: Counters of the order of shingles: they decide how fast, not what is found.
+SLOTS = 1 << 16
 #: A shingle in the prefix of more sets than this is met first by PIVOTS of them only, then by what isn't connected yet.
 CROWD, PIVOTS = 32, 1
 #: Bits of a set's parity sketch; two sketches differ in no more bits than the sets have members that aren't shared.
@@ -320,12 +327,8 @@ def _slot(values: np.ndarray) -> np.ndarray:
     return (values.view(np.uint64) >> np.uint64(48)).astype(np.int64)
 
 
-def slot_counts(docs: DataFrame, row: str, most: int = SAMPLE) -> np.ndarray:
-    """How many shingles of about ``most`` documents fall into each of SLOTS slots: frequent shingles have full ones."""
-    spark, count = docs.sparkSession, docs.count()
-    if count > most:
-        docs = docs.where(F.pmod(F.xxhash64(row), F.lit(1 << 20)) < (most << 20) // count)
-
+def slot_counts(docs: DataFrame) -> np.ndarray:
+    """How many shingles of all documents fall into each of SLOTS slots: frequent shingles have full ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
@@ -334,7 +337,7 @@ def slot_counts(docs: DataFrame, row: str, most: int = SAMPLE) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
 
-    small_batches(spark)
+    small_batches(docs.sparkSession)
     found = texts(docs).select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
@@ -526,11 +529,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     while row in docs.columns:
         row += "_"
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-in")
-    marks = stored(prefixes(whole, row, slot_counts(whole, row)), "prefixes")
-    nodes = stored(marks.groupBy("a", "b").agg(F.min("row").alias("first")), "nodes")
+    marks = stored(prefixes(whole, row, slot_counts(whole)), "prefixes")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")
+    nodes = stored(marks.groupBy("a", "b").agg(F.min("row").alias("first"), best), "nodes")
     distinct = marks.join(nodes.select(F.col("first").alias("row")), "row", "left_semi")
     roots = components(near_links(distinct, whole, row))
-    placed = nodes.join(roots.withColumnRenamed("node", "first"), "first", "left").select("a", "b", F.coalesce("root", "first").alias("root"))
-    members = marks.select("doc_id", "row", "a", "b").join(placed, ["a", "b"])
-    stay = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias(row))
+    placed = nodes.join(roots.withColumnRenamed("node", "first"), "first", "left").select(F.coalesce("root", "first").alias("root"), "best")
+    stay = placed.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
     return whole.join(stay, row, "left_semi").select(*[whole[f"`{c}`"] for c in docs.columns])
