@@ -311,8 +311,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, segments: in
 WORDS, SHARE = 5, (4, 5)
 #: Counters of the order of shingles: they decide how fast, not what is found.
 SLOTS = 1 << 16
-#: A shingle in the prefix of more sets than this is met first by PIVOTS of them only, then by what isn't connected yet.
-CROWD, PIVOTS = 32, 1
+#: The sets of a crowd, those with one shingle in their prefixes, are met in turns if they are more than this: first by one of them only (one of
+#: VARIANTS, so that most pairs of sets meet the same one under all their shingles), then by the NEAREST of those that they aren't connected with, ROUNDS times, and
+#: then by all of these.  All but CROWD are only about how fast what is connected is found.
+CROWD, VARIANTS, NEAREST, ROUNDS = 32, 4, 2, 3
 #: Bits of a set's parity sketch; two sketches differ in no more bits than the sets have members that aren't shared.
 PARITY = 512
 
@@ -417,9 +419,9 @@ def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rights.append(free[x + step])
         for first, size in zip(starts[sizes > CROWD], sizes[sizes > CROWD], strict=True):
             members = np.arange(first, first + size)
-            for pivot in members[np.argsort(rows[members], kind="stable")[:PIVOTS]]:
-                lefts.append(np.full(size, pivot))
-                rights.append(members)
+            drawn = (rows[members].astype(np.uint64) * np.uint64(VARIANTS) + np.uint64(int(keys[first]) % VARIANTS)) * np.uint64(0x9E3779B97F4A7C15)
+            lefts.append(np.full(size, members[(drawn ^ (drawn >> np.uint64(31))).argmin()]))
+            rights.append(members)
         x, y = (np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64) for v in (lefts, rights))
         keep = _may_be_near((n[x], n[y]), (at[x], at[y])) & (rows[x] != rows[y])
         pairs = np.unique(np.sort(np.stack([rows[x[keep]], rows[y[keep]]], axis=1), axis=1), axis=0)
@@ -432,32 +434,43 @@ def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(rows[part]), pa.nulls(len(part), pa.int64()), *[pa.array(v[part]) for v in (keys, n, at)]], names=["x", "y", "key", "n", "at"])
 
 
-def _crowd_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, row, n, at, root, sketch) in order of key -> all pairs (x, y) of one key and different roots that may be near."""
+def _crowd_pairs(nearest: int | None):
+    """Rows (key, row, n, at, root, sketch) in order of key -> pairs (x, y) of one key and different roots that may be near: all, or for
+    each row outside of the key's largest root those with the ``nearest`` least different sketches."""
     part, whole = SHARE
-    for table in _runs(batches):
-        keys, row, n, at, root = (table.column(c).to_numpy() for c in ("key", "row", "n", "at", "root"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        for first, end in zip(starts, np.append(starts[1:], len(keys)), strict=True):
-            _, group, sizes = np.unique(root[first:end], return_inverse=True, return_counts=True)
-            # the largest group's members last: they aren't compared with each other
-            members = first + np.argsort(group == sizes.argmax(), kind="stable")
-            others = len(members) - int(sizes.max())
-            block = max(1, (1 << 20) // len(members))
-            for i in range(0, others, block):
-                x, y = np.meshgrid(np.arange(i, min(i + block, others)), np.arange(i, len(members)), indexing="ij")
-                ahead = x < y
-                x, y = members[x[ahead]], members[y[ahead]]
-                keep = (root[x] != root[y]) & _may_be_near((n[x], n[y]), (at[x], at[y]))
-                x, y = x[keep], y[keep]
-                unlike = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
-                both = n[x] + n[y]
-                keep = unlike <= both - 2 * -(-part * both // (part + whole))
-                x, y = row[x[keep]], row[y[keep]]
-                for j in range(0, len(x), INDEX_ROWS):
-                    a, b = x[j : j + INDEX_ROWS], y[j : j + INDEX_ROWS]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            keys, row, n, at, root = (table.column(c).to_numpy() for c in ("key", "row", "n", "at", "root"))
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            for first, end in zip(starts, np.append(starts[1:], len(keys)), strict=True):
+                _, group, sizes = np.unique(root[first:end], return_inverse=True, return_counts=True)
+                # the largest group's members last: they aren't compared with each other
+                members = first + np.argsort(group == sizes.argmax(), kind="stable")
+                others = len(members) - int(sizes.max())
+                block = max(1, (1 << 20) // len(members))
+                for i in range(0, others, block):
+                    x, y = np.meshgrid(np.arange(i, min(i + block, others)), np.arange(i if nearest is None else 0, len(members)), indexing="ij")
+                    ahead = x < y if nearest is None else x != y
+                    x, y = members[x[ahead]], members[y[ahead]]
+                    keep = (root[x] != root[y]) & _may_be_near((n[x], n[y]), (at[x], at[y]))
+                    x, y = x[keep], y[keep]
+                    unlike = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+                    both = n[x] + n[y]
+                    keep = unlike <= both - 2 * -(-part * both // (part + whole))
+                    x, y, unlike = x[keep], y[keep], unlike[keep]
+                    if nearest is not None and len(x):
+                        order = np.lexsort((row[y], unlike, x))
+                        x, y = x[order], y[order]
+                        keep = np.arange(len(x)) - np.searchsorted(x, x) < nearest
+                        x, y = x[keep], y[keep]
+                    x, y = row[x], row[y]
+                    for j in range(0, len(x), INDEX_ROWS):
+                        a, b = x[j : j + INDEX_ROWS], y[j : j + INDEX_ROWS]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["x", "y"])
+
+    return run
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,8 +511,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) ->
 def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
     """Links (x, y) that connect all rows of ``nodes`` (row, n, sketch, prefix; distinct sets) whose similarity reaches SHARE, directly or by others.
 
-    Every such pair shares a shingle in its prefixes.  Where few do, all pairs are verified.  Where many do, a few of them are
-    compared with all first, then all pairs that aren't connected by that.
+    Every such pair shares a shingle in its prefixes.  Where few do, all pairs are verified.  Where many do, one of them is
+    compared with all first, then each with the nearest that it isn't connected with, and at last with all that are still left.
     """
     spark = docs.sparkSession
 
@@ -513,9 +526,21 @@ def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
     crowd = first.where("y IS NULL").select("key", F.col("x").alias("row"), "n", "at")
     if not crowd.take(1):
         return near
-    roots = components(near).withColumnRenamed("node", "row")
-    crowd = crowd.join(nodes.select("row", "sketch"), "row").join(roots, "row", "left").select("key", "row", "n", "at", F.coalesce("root", "row").alias("root"), "sketch")
-    return near.unionByName(_verified(stored(in_order(crowd).mapInArrow(_crowd_pairs, "x long, y long"), "crowd-pairs"), nodes, docs, row))
+    crowd = stored(crowd.join(nodes.select("row", "sketch"), "row"), "crowd")
+    turns: list[int | None] = [*[NEAREST] * ROUNDS, None]
+    while turns:
+        nearest = turns.pop(0)
+        roots = components(near).withColumnRenamed("node", "row")
+        apart = crowd.join(roots, "row", "left").select("key", "row", "n", "at", F.coalesce("root", "row").alias("root"), "sketch")
+        pairs = stored(in_order(apart).mapInArrow(_crowd_pairs(nearest), "x long, y long"), "crowd-pairs")
+        if not pairs.take(1):
+            return near
+        more = _verified(pairs, nodes, docs, row)
+        if nearest is None or more.take(1):
+            near = near.unionByName(more)
+        else:
+            turns = [None]
+    return near
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

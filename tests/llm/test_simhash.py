@@ -161,11 +161,11 @@ def test_documents_below_the_threshold_stay(spark, odd, sf_dir):
     assert kept(spark, odd, rows) == plain_groups(rows)
 
 
-@pytest.mark.parametrize("crowd", [32, 2])
-def test_all_near_copies_are_found(spark, odd, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "rounds"), [(32, 3), (2, 3), (2, 0)])
+def test_all_near_copies_are_found(spark, odd, monkeypatch, crowd, rounds):
     """Appended and replaced passages and scattered changes around 0.8, also where keys are crowded, against all pairs."""
     monkeypatch.setattr(simhash, "CROWD", crowd)
-    monkeypatch.setattr(simhash, "PIVOTS", 1)
+    monkeypatch.setattr(simhash, "ROUNDS", rounds)
     g = np.random.default_rng(12)
     word = lambda n: [f"w{i}" for i in g.integers(0, 3000, n)]
     rows, pairs = [], {}
