@@ -9,15 +9,14 @@ import tempfile
 import unicodedata
 import uuid
 from array import array
+from collections.abc import Iterator
 from itertools import chain, filterfalse
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ship import ship
-
-#: Rows in an Arrow batch; texts are long, so Spark's default of 10,000 would hold too much at once.
+#: Rows with whole texts that an operator works on at a time.
 ARROW_ROWS = 512
 VOCABULARY = "word_bpe_49k.json"
 
@@ -25,10 +24,12 @@ VOCABULARY = "word_bpe_49k.json"
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local test) a temporary folder takes its place.
+    Only where ``spark.checkpoint.dir`` is unset, and all runs in one process (a test), a temporary folder takes its place.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = f"file://{os.path.join(tempfile.gettempdir(), 'granary-work')}"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -41,10 +42,11 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts can hold; to be called before each use of Python on executors."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows.  Spark bounds its own by bytes; this bounds what is made of one at a time."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

@@ -17,7 +17,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import small_batches, stored, texts
+from ..ship import ship
+from .common import slices, stored, texts
 
 #: Samples in a packet of the sample stream.
 PACKET = 576
@@ -173,13 +174,13 @@ def samples_of(data: bytes) -> tuple[int, bytes, str]:
 
 
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         media = [record(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(media, pa.binary())], names=["doc_id", "media"])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out: list[list] = [[] for _ in range(7)]
         for data in batch.column("media").to_pylist():
             n, samples, said = samples_of(data)
@@ -192,7 +193,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def to_media(docs: DataFrame) -> DataFrame:
     """doc_id, media: every whole text (null: empty) as an Ogg recording. No shuffle; a task holds one batch of texts."""
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     return texts(docs).mapInArrow(_store, "doc_id long, media binary")
 
 
@@ -201,7 +202,7 @@ def media_features(media: DataFrame) -> DataFrame:
 
     ``feature``: streams, pages, packets, rate, channels, bits, seconds (the last timestamp), mean sample, samples of 255.
     """
-    small_batches(media.sparkSession)
+    ship(media.sparkSession)
     kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     return media.select("doc_id", "media").mapInArrow(_features, kinds)
 

@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, texts, vocabulary_path, word_ids
+from ..ship import ship
+from .common import slices, stored, texts, vocabulary_path, word_ids
 
 CAPACITY = 4096
 FAN = 16
@@ -69,7 +70,7 @@ def _packer(path: str, capacity: int, end_id: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, leaf = word_ids(path).of, TaskContext.get().partitionId()
         doc_ids, pieces, starts, lengths, crcs = [], [], [], [], []
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, coded in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                 ids = np.frombuffer(coded + end, "<u2").astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
@@ -114,7 +115,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     scan: texts aren't shuffled. The packed pieces are stored before the tree, so bins never change under a retry.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ship(spark)
     pieces = stored(texts(docs).mapInArrow(_packer(vocabulary or vocabulary_path(), capacity, end_id), PIECES), "packed")
     bins = pieces.groupBy("leaf", "bin").agg(F.max("fill").alias("fill"))
     # a partition's residue: bounded by its one small bin and `fan` hosts, found without sorting the full bins

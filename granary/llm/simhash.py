@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, small_side, stored, texts
+from ..ship import ship
+from .common import slices, small_side, stored, texts
 
 SEED = 42
 #: Shingles whose bits are summed at a time, whatever the text's length.
@@ -76,12 +77,12 @@ def fingerprints(docs: DataFrame, kinds: list[dict], *more: str) -> DataFrame:
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in source.schema if f.name in names), *(f"f{i} long" for i in range(len(kinds)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             whole = batch.column("text").to_pylist()
             found = [pa.array([_signed(fingerprint(t, **kind)) for t in whole], pa.int64()) for kind in kinds]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *found], names=[*names, *(f"f{i}" for i in range(len(kinds)))])
 
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     return source.mapInArrow(run, schema)
 
 
@@ -242,7 +243,6 @@ def links(nodes: DataFrame, lanes: list[str], segments: int, most: int) -> DataF
     index = nodes.select(F.explode(F.array(*[key for k, lane, low, bits in cuts for key in _keys(k, _value(lane, low, bits), bits)])).alias("key"), "a", "b")
 
     def run(rows: DataFrame) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(INDEX_ROWS))
         return stored(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(most), EDGES), "links")
 
     if lanes != ["a"] or segments != 2 or most > 3:
@@ -333,13 +333,13 @@ def slot_counts(docs: DataFrame) -> np.ndarray:
     """How many shingles of all documents fall into each of SLOTS slots: frequent shingles have full ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 np.add.at(counts, _slot(shingle_set(text)), 1)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
 
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     found = texts(docs).select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
@@ -357,7 +357,7 @@ def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
     sent = spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             digests, sizes, sketches, firsts = [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingle_set(text)
@@ -370,7 +370,7 @@ def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column(row), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), _lists(firsts)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "a", "b", "n", "sketch", "prefix"])
 
-    small_batches(spark)
+    ship(spark)
     return texts(docs, row).mapInArrow(run, "doc_id long, row long, a long, b long, n long, sketch binary, prefix array<long>")
 
 
@@ -497,11 +497,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) ->
     wanted = pairs.select(F.col("x").alias(row)).unionByName(pairs.select(F.col("y").alias(row))).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingle_set(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(row), _lists(found)], names=["row", "s"])
 
-    small_batches(spark)
+    ship(spark)
     sets = stored(texts(docs, row).join(small_side(wanted), row, "left_semi").select(row, "text").mapInArrow(run, "row long, s array<long>"), "sets")
     both = pairs.join(sets.withColumnsRenamed({"row": "x", "s": "sx"}), "x").join(sets.withColumnsRenamed({"row": "y", "s": "sy"}), "y")
     near = F.size(F.array_intersect("sx", "sy")).cast("long") * (part + whole) >= (F.size("sx").cast("long") + F.size("sy")) * part
@@ -517,7 +517,6 @@ def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
     spark = docs.sparkSession
 
     def in_order(rows: DataFrame) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(INDEX_ROWS))
         return rows.repartition("key").sortWithinPartitions("key")
 
     index = nodes.select("row", "n", F.posexplode("prefix").alias("at", "key")).select("key", "row", "n", F.col("at").cast("long").alias("at"))

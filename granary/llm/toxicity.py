@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, texts
+from ..ship import ship
+from .common import slices, stored, texts
 
 #: Grades: 0 none, 1 mild, 2 strong, 3 severe; a toxic row's is 1 + the number of these counts that its telling words exceed.
 STEPS = (1, 4)
@@ -117,7 +118,7 @@ def fit(names: np.ndarray, marks: np.ndarray, sizes: np.ndarray, toxic: np.ndarr
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [features(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "marks"])
 
@@ -140,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int =
     an empty table, or one class only, gives a model that rejects nothing.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    ship(spark)
     chosen = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = [chosen.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for side in (0, 1)]
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int =
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, telling = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             rows = [np.array(m, np.int32) for m in batch.column("marks").to_pylist()]
             columns = [batch.column("toxic"), pa.array([int(np.isin(m, telling).sum()) for m in rows], pa.int32()), pa.array([m[np.isin(m, names)] for m in rows], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", "telling", "marks"])
@@ -179,7 +180,7 @@ def scored(docs: DataFrame, model: Ordinal, *more: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         index = dict(zip(known.names.tolist(), known.weights.tolist(), strict=True))
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], []]
             for text in batch.column("text").to_pylist():
                 above = known.above(sum(index.get(m, 0.0) for m in features(text).tolist()))
@@ -189,7 +190,7 @@ def scored(docs: DataFrame, model: Ordinal, *more: str) -> DataFrame:
             kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *map(pa.array, out, kinds)], names=[*names, "grade", "severity", "p_toxic", "toxic"])
 
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     return source.mapInArrow(run, schema)
 
 
