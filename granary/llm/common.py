@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import functools
 import os
 import sys
@@ -31,7 +33,30 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = f"file://{os.path.join(tempfile.gettempdir(), 'granary-work')}"
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    mine = f"{top.rstrip('/')}/granary-{spark.sparkContext.applicationId}"
+    _forget_at_exit(spark, mine)
+    return f"{mine}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _folders() -> set[str]:
+    return set()
+
+
+def _forget_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete an application's work folder when its driver ends, if Spark still runs then."""
+    if folder in _folders():
+        return
+    _folders().add(folder)
+
+    def forget() -> None:
+        context = spark.sparkContext
+        with contextlib.suppress(Exception):  # the Java side may have ended first
+            if context._jsc is not None and not context._jsc.sc().isStopped():
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+    atexit.register(forget)
 
 
 def stored(df: DataFrame, name: str, **options) -> DataFrame:

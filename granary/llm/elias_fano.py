@@ -54,18 +54,24 @@ class EliasFano:
         bits = ((values[:, None] >> np.arange(low)) & 1).astype(np.uint8)
         return cls(n, low, np.packbits(bits.ravel(), bitorder="little").tobytes(), upper.tobytes())
 
-    def _low(self, i: int) -> int:
-        first, last = i * self.low_bits, (i + 1) * self.low_bits
-        whole = int.from_bytes(self.lower[first >> 3 : (last + 7) >> 3].tobytes(), "little")
-        return whole >> (first & 7) & ((1 << self.low_bits) - 1)
-
-    def select(self, i: int) -> int:
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        block = int(np.searchsorted(self.samples, i, side="right")) - 1
-        bits = np.unpackbits(self.upper[block * self.BLOCK : (block + 1) * self.BLOCK], bitorder="little")
-        at = block * self.BLOCK * 8 + int(np.flatnonzero(bits)[i - int(self.samples[block])])
-        return (at - i) << self.low_bits | self._low(i)
+    def select(self, places: int | np.ndarray) -> int | np.ndarray:
+        """The values at some places; only the blocks of ``upper`` that hold their bits are read."""
+        i = np.atleast_1d(np.asarray(places, np.int64))
+        if len(i) and not (0 <= i.min() and i.max() < self.n):
+            raise IndexError(places)
+        block = np.searchsorted(self.samples, i, side="right") - 1
+        wanted, at = np.unique(block, return_inverse=True)
+        rows = np.zeros((len(wanted), self.BLOCK), np.uint8)
+        for row, b in zip(rows, wanted.tolist(), strict=True):
+            part = self.upper[b * self.BLOCK : (b + 1) * self.BLOCK]
+            row[: len(part)] = part
+        ones = np.flatnonzero(np.unpackbits(rows.ravel(), bitorder="little"))
+        before = np.searchsorted(ones, np.arange(len(wanted)) * self.BLOCK * 8)
+        found = ones[before[at] + i - self.samples[block]] + (wanted - np.arange(len(wanted)))[at] * self.BLOCK * 8
+        bits = i[:, None] * self.low_bits + np.arange(self.low_bits)
+        low = ((self.lower[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1).astype(np.int64) << np.arange(self.low_bits) if self.low_bits else np.zeros((len(i), 0), np.int64)
+        out = (found - i) << self.low_bits | low.sum(axis=1)
+        return out if np.ndim(places) else int(out[0])
 
     def values(self) -> np.ndarray:
         """All of them at once."""
@@ -112,7 +118,8 @@ def _writer(path: str, end_id: int, segment_ids: int):
 def write_corpus(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every whole text and write the ids in ascending doc_id order (null ids first, equal ones by text).
 
-    One shuffle by ranges of doc_id, sized by Spark; a task holds one segment and one Arrow batch, whatever its range holds.
+    Null texts count as empty; rows that are there twice are written twice; other columns aren't read; an empty table makes a folder without
+    rows.  One shuffle by ranges of doc_id, sized by Spark; a task holds one segment and one Arrow batch, whatever its range holds.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -126,7 +133,8 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {"doc_id": [], "start": [], "n_tokens": [], "ids_crc32": []}
         for row in batch.to_pylist():
             n = len(row["doc_ids"])
-            ends = EliasFano(n, row["low_bits"], row["lower"], row["upper"]).values()
+            index = EliasFano(n, row["low_bits"], row["lower"], row["upper"])
+            ends = index.select(np.arange(n))
             starts = np.concatenate([[0], ends[:-1]])
             ids = np.frombuffer(row["ids"], "<u2").astype("<u4")
             out["doc_id"] += row["doc_ids"]

@@ -23,8 +23,8 @@ from .common import slices, stored, texts
 #: Samples in a packet of the sample stream.
 PACKET = 576
 RATE = 8000
-#: Packets on one page: 3 lacing values each, at most 255 on a page.
-PAGE_PACKETS = 85
+#: Lacing values on a page of samples: not a multiple of a packet's three, so packets go on from page to page.
+PAGE_LACING = 254
 _HEADER = struct.Struct("<4sBBqIIIB")
 _CONTINUED, _FIRST, _LAST = 1, 2, 4
 _PCM = struct.Struct("<8sHHIIBB")
@@ -55,8 +55,6 @@ def pages(packets: list[bytes], serial: int, granules: list[int], alone: int = 1
 
     for i, (packet, end) in enumerate(zip(packets, granules, strict=True)):
         need, at = len(packet) // 255 + 1, 0
-        if lacing and need <= most < len(lacing) + need:
-            flush(False, False)
         while need:
             if len(lacing) == most:
                 flush(False, at > 0)
@@ -151,7 +149,7 @@ def record(text: str) -> bytes:
     other = serial ^ 0x80000000
     head = _PCM.pack(b"PCM     ", 0, 0, 1, RATE, 8, 1)
     packets = [samples[i : i + PACKET] for i in range(0, len(samples), PACKET)]
-    sound = pages([head, *packets], serial, [0, *range(PACKET, len(samples) + 1, PACKET)])
+    sound = pages([head, *packets], serial, [0, *range(PACKET, len(samples) + 1, PACKET)], most=PAGE_LACING)
     note = pages([b"NOTE    ", b"bytes=%d" % n], other, [0, len(samples)])
     # first pages of all streams come first; the rest in order of time
     rest = sorted([(g, 0, i, p) for i, (g, p) in enumerate(sound[1:])] + [(g, 1, i, p) for i, (g, p) in enumerate(note[1:])])

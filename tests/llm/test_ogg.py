@@ -45,6 +45,17 @@ def test_damage_is_found():
             ogg.samples_of(cut)
 
 
+def test_recordings_have_packets_that_span_pages():
+    data = ogg.record("some text " * 20_000)
+    flags, at = [], 0
+    while at < len(data):
+        n = data[at + 26]
+        flags.append(data[at + 5])
+        at += 27 + n + sum(data[at + 27 : at + 27 + n])
+    assert sum(f & 1 for f in flags) >= 3  # pages that begin with the rest of a packet
+    assert ogg.samples_of(data)[1] == ogg.payload("some text " * 20_000)
+
+
 def expected(text):
     raw = (text or "").encode()
     payload = raw + b"\xff" * (-len(raw) % 576 or (0 if raw else 576))

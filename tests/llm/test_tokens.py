@@ -25,7 +25,8 @@ def test_elias_fano_round_trip(values):
     universe = values[-1] if values else 0
     e = EliasFano.encode(np.array(values), universe)
     assert e.values().tolist() == values
-    assert [e.select(i) for i in range(len(values))] == values
+    assert [e.select(i) for i in range(len(values))] == values == e.select(np.arange(len(values))).tolist() == e.values().tolist()
+    assert e.select(np.arange(len(values))[::-3]).tolist() == values[::-3]
     with pytest.raises(IndexError):
         e.select(len(values))
 
