@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows with whole texts that an operator works on at a time.
-ARROW_ROWS = 512
+from ..ship import ship
+
+#: Rows with whole texts that an operator works on at a time, and bytes after which Spark closes a batch.
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -67,8 +69,17 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Ship the package, and bound Arrow batches by bytes: plans are lazy, so all operators set the one bound, and never raise what is set."""
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch())
+    if not 0 < held <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
-    """Batches of at most so many rows.  Spark bounds its own by bytes; this bounds what is made of one at a time."""
+    """Batches of at most so many rows, which bounds what is made of one at a time."""
     for batch in batches:
         for i in range(0, len(batch), rows):
             yield batch.slice(i, rows)

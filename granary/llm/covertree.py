@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import stored
+from .common import bounded, stored
 
 SCALE = 1024
 #: Members of a leaf, candidates in a block, queries that are compared at a time, candidates likewise (first FEW, then twice as many each time).
@@ -333,7 +332,7 @@ def walks(candidates: DataFrame, queries: DataFrame, k: int = 10, block: int = B
     the others, which are met with the kth scores found so far.
     """
     spark = candidates.sparkSession
-    ship(spark)
+    bounded(spark)
     # of queries with one id the smallest vector counts
     queries = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     count, longest = queries.agg(F.count("*"), F.max(F.size("v"))).first()

@@ -18,8 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import slices, small_side, texts, vocabulary_path, word_ids
+from .common import bounded, slices, small_side, texts, vocabulary_path, word_ids
 
 END_ID = 1
 #: Ids after which a segment closes; one longer document makes a segment of its own.
@@ -122,7 +121,7 @@ def write_corpus(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     rows.  One shuffle by ranges of doc_id, sized by Spark; a task holds one segment and one Arrow batch, whatever its range holds.
     """
     spark = docs.sparkSession
-    ship(spark)
+    bounded(spark)
     ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     segments = ordered.mapInArrow(_writer(vocabulary or vocabulary_path(), end_id, segment_ids), SEGMENTS)
     segments.write.options(**{"compression": "zstd", "parquet.block.size": str(16 << 20)}).parquet(folder)
@@ -150,7 +149,7 @@ def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
     An empty corpus gives no rows. Only one number a shard is summed in one place and sent to all tasks: as many as
     the writing job had tasks.
     """
-    ship(spark)
+    bounded(spark)
     segments = spark.read.schema(SEGMENTS).parquet(folder)
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     running = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import slices, small_side, texts
+from .common import bounded, slices, small_side, texts
 
 #: Bytes in a window, units of a state, windows that are labelled at a time.
 LENGTH, UNITS, BLOCK = 64, 12, 4096
@@ -166,7 +165,7 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, rows: int = ROWS,
     stand in the sample or none; other columns aren't read; None if no row is left.
     """
     spark = docs.sparkSession
-    ship(spark)
+    bounded(spark)
     source = (docs if labelled is None else labelled).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # by its language's count a row's hash tells already whether it can be among the first; few are left to put in order
     keys = source.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("mark"))
@@ -201,7 +200,7 @@ def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
     A null text, one without a letter, or no network: "und" and 0.  Only text is read. No shuffle; repeated rows each get their own;
     an empty table gives no rows.
     """
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

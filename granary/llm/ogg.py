@@ -17,8 +17,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ..ship import ship
-from .common import slices, stored, texts
+from .common import bounded, slices, stored, texts
 
 #: Samples in a packet of the sample stream.
 PACKET = 576
@@ -191,7 +190,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def to_media(docs: DataFrame) -> DataFrame:
     """doc_id, media: every whole text (null: empty) as an Ogg recording. No shuffle; a task holds one batch of texts."""
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     return texts(docs).mapInArrow(_store, "doc_id long, media binary")
 
 
@@ -200,7 +199,7 @@ def media_features(media: DataFrame) -> DataFrame:
 
     ``feature``: streams, pages, packets, rate, channels, bits, seconds (the last timestamp), mean sample, samples of 255.
     """
-    ship(media.sparkSession)
+    bounded(media.sparkSession)
     kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     return media.select("doc_id", "media").mapInArrow(_features, kinds)
 

@@ -19,8 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import slices, stored, texts, vocabulary_path, word_ids
+from .common import bounded, slices, stored, texts, vocabulary_path, word_ids
 
 CAPACITY = 4096
 FAN = 16
@@ -115,7 +114,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     scan: texts aren't shuffled. The packed pieces are stored before the tree, so bins never change under a retry.
     """
     spark = docs.sparkSession
-    ship(spark)
+    bounded(spark)
     pieces = stored(texts(docs).mapInArrow(_packer(vocabulary or vocabulary_path(), capacity, end_id), PIECES), "packed")
     bins = pieces.groupBy("leaf", "bin").agg(F.max("fill").alias("fill"))
     # a partition's residue: bounded by its one small bin and `fan` hosts, found without sorting the full bins

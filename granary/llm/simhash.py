@@ -21,8 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import slices, small_side, stored, texts
+from .common import bounded, slices, small_side, stored, texts
 
 SEED = 42
 #: Shingles whose bits are summed at a time, whatever the text's length.
@@ -82,7 +81,7 @@ def fingerprints(docs: DataFrame, kinds: list[dict], *more: str) -> DataFrame:
             found = [pa.array([_signed(fingerprint(t, **kind)) for t in whole], pa.int64()) for kind in kinds]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *found], names=[*names, *(f"f{i}" for i in range(len(kinds)))])
 
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     return source.mapInArrow(run, schema)
 
 
@@ -339,7 +338,7 @@ def slot_counts(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
 
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     found = texts(docs).select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
@@ -370,7 +369,7 @@ def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column(row), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), _lists(firsts)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "a", "b", "n", "sketch", "prefix"])
 
-    ship(spark)
+    bounded(spark)
     return texts(docs, row).mapInArrow(run, "doc_id long, row long, a long, b long, n long, sketch binary, prefix array<long>")
 
 
@@ -501,7 +500,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) ->
             found = [shingle_set(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(row), _lists(found)], names=["row", "s"])
 
-    ship(spark)
+    bounded(spark)
     sets = stored(texts(docs, row).join(small_side(wanted), row, "left_semi").select(row, "text").mapInArrow(run, "row long, s array<long>"), "sets")
     both = pairs.join(sets.withColumnsRenamed({"row": "x", "s": "sx"}), "x").join(sets.withColumnsRenamed({"row": "y", "s": "sy"}), "y")
     near = F.size(F.array_intersect("sx", "sy")).cast("long") * (part + whole) >= (F.size("sx").cast("long") + F.size("sy")) * part

@@ -19,8 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..ship import ship
-from .common import slices, stored, texts
+from .common import bounded, slices, stored, texts
 
 #: Grades: 0 none, 1 mild, 2 strong, 3 severe; a toxic row's is 1 + the number of these counts that its telling words exceed.
 STEPS = (1, 4)
@@ -141,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int =
     an empty table, or one class only, gives a model that rejects nothing.
     """
     spark = docs.sparkSession
-    ship(spark)
+    bounded(spark)
     chosen = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = [chosen.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for side in (0, 1)]
@@ -190,7 +189,7 @@ def scored(docs: DataFrame, model: Ordinal, *more: str) -> DataFrame:
             kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *map(pa.array, out, kinds)], names=[*names, "grade", "severity", "p_toxic", "toxic"])
 
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     return source.mapInArrow(run, schema)
 
 
