@@ -6,7 +6,9 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from .operators import reconcile
 from .plans.lakehouse import STAGES, Lakehouse
 from .sources.generator import DATES
 
@@ -19,7 +21,8 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--landing", default="landing")
     p.add_argument("--business-date", choices=DATES)
     p.add_argument("--mode", default="normal", help="normal, resume, fail-during:ENTITY, fail-after:ENTITY")
-    p.add_argument("--fail-on-mismatch", action="store_true")
+    p.add_argument("--fail-on-mismatch", action="store_true", help="exit 1 if a batch of this run has a mismatch")
+    p.add_argument("--reports", help="folder for mismatch_report.csv, on any file system")
     a, _ = p.parse_known_args(args)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     house = Lakehouse(spark, a.root, a.landing)
@@ -32,10 +35,15 @@ def main(args: list[str] | None = None) -> int:
         spark.sql(a.what).show(100, False)
     else:
         stages = STAGES if a.what in (None, "all") else tuple(a.what.split(","))
-        for day in [a.business_date] if a.business_date else DATES:
+        days = [a.business_date] if a.business_date else DATES
+        for day in days:
             house.run(day, stages, a.mode)
-        bad = house.read("ref", "recon_results")
-        if a.fail_on_mismatch and bad is not None and bad.where("status = 'MISMATCH'").limit(1).count():
+        mine = [house.batch(day) for day in days]
+        results = house.read("ref", "recon_results")
+        bad = results.where(F.col("batch_id").isin(mine) & (F.col("status") == "MISMATCH")) if results is not None else None
+        if a.reports and results is not None:
+            reconcile.report(results.where(F.col("batch_id").isin(mine)), a.reports)
+        if a.fail_on_mismatch and bad is not None and bad.limit(1).count():
             return 1
     return 0
 

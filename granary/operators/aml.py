@@ -17,18 +17,23 @@ def last_days(facts: DataFrame, day: str, n: int, column: str = "business_date")
     return facts.where(F.col(column) <= F.lit(day).cast("date")).select(column).distinct().orderBy(F.desc(column)).limit(n)
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """With each payment's place in its account, in order of ids."""
+    return rows.withColumn("_place", F.row_number().over(Window.partitionBy("account_key").orderBy(F.asc_nulls_last("msg_id"))))
+
+
 def structuring(payments: DataFrame, day: str, rule: dict = STRUCTURING) -> DataFrame:
     """Accounts with several cash credits just under a threshold within the last dates of the facts."""
     window = F.broadcast(last_days(payments, day, rule["days"]))  # as many rows as the rule has days
     hits = payments.where((F.col("direction") == "CR") & (F.col("channel") == "CASH") & (F.col("status") == "SETTLED") & F.col("amount").between(rule["band_from"], rule["band_to"]))
-    found = hits.join(window, "business_date", "left_semi").groupBy("account_key").agg(F.count("*").alias("hits"), F.sum("amount").alias("amount"), F.min("value_date").alias("first_date"), F.max("value_date").alias("last_date"), evidence(F.col("msg_id")).alias("evidence"))
+    found = _placed(hits.join(window, "business_date", "left_semi")).groupBy("account_key").agg(F.count("*").alias("hits"), F.sum("amount").alias("amount"), F.min("value_date").alias("first_date"), F.max("value_date").alias("last_date"), evidence(F.col("msg_id"), F.col("_place")).alias("evidence"))
     return found.where(F.col("hits") >= rule["min_count"]).withColumn("rule_code", F.lit(rule["rule_code"]))
 
 
 def pass_through(payments: DataFrame, day: str, rule: dict = PASS_THROUGH) -> DataFrame:
     """Accounts that on one date take many credits and send nearly all on; no debit never alerts."""
     credit = F.col("direction") == "CR"
-    found = payments.where((F.col("status") == "SETTLED") & (F.col("business_date") == F.lit(day).cast("date"))).groupBy("account_key").agg(F.count_if(credit).alias("hits"), F.sum(F.when(credit, F.col("amount"))).alias("amount"), F.sum(F.when(F.col("direction") == "DR", F.col("amount"))).alias("sent"), evidence(F.col("msg_id")).alias("evidence"))
+    found = _placed(payments.where((F.col("status") == "SETTLED") & (F.col("business_date") == F.lit(day).cast("date")))).groupBy("account_key").agg(F.count_if(credit).alias("hits"), F.sum(F.when(credit, F.col("amount"))).alias("amount"), F.sum(F.when(F.col("direction") == "DR", F.col("amount"))).alias("sent"), evidence(F.col("msg_id"), F.col("_place")).alias("evidence"))
     return found.where((F.col("hits") >= rule["min_credits"]) & (F.col("amount") >= rule["min_credit_total"]) & (F.col("sent") >= rule["min_out_ratio"] * F.col("amount"))).withColumn("rule_code", F.lit(rule["rule_code"]))
 
 

@@ -13,13 +13,18 @@ STATES = ("STARTED", "COMMITTED", "SKIPPED", "COMPLETED", "FAILED", "MISSING_MAN
 LOAD_AUDIT = "batch_id string, stage string, entity string, status string, rows_in long, rows_ok long, rows_bad long, message string, at timestamp"
 
 
+def _later() -> list:
+    """The order of states: by time, and of one instant the later in a run first."""
+    return [F.desc("at"), F.expr("array_position(array('STARTED', 'MISSING_MANIFEST', 'SKIPPED', 'COMMITTED', 'FAILED', 'COMPLETED'), status)").desc()]
+
+
 class StageNotReady(RuntimeError):
     pass
 
 
 def require_completed(audit: DataFrame, batch: str, stage: str) -> None:
     """The stage's last run of the batch must have completed."""
-    last = audit.where((F.col("batch_id") == batch) & (F.col("stage") == stage) & F.col("status").isin("STARTED", "COMPLETED", "FAILED")).orderBy(F.desc("at")).limit(1).collect()
+    last = audit.where((F.col("batch_id") == batch) & (F.col("stage") == stage) & F.col("status").isin("STARTED", "COMPLETED", "FAILED")).orderBy(*_later()).limit(1).collect()
     if not last or last[0]["status"] != "COMPLETED":
         raise StageNotReady(f"{stage} of {batch} is {last[0]['status'] if last else 'not there'}")
 
@@ -33,7 +38,7 @@ def resume_set(audit: DataFrame, batch: str, stage: str) -> DataFrame:
 
 def last_attempts(audit: DataFrame) -> DataFrame:
     """The last outcome of every batch, stage and entity; STARTED isn't one."""
-    return latest(audit.where("status <> 'STARTED'"), ["batch_id", "stage", "entity"], [F.desc("at")])
+    return latest(audit.where("status <> 'STARTED'"), ["batch_id", "stage", "entity"], _later())
 
 
 def error_summary(error: BaseException, most: int = 500) -> str:

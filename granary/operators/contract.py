@@ -99,6 +99,19 @@ def json_fields(df: DataFrame, contract: dict, payload: str = "payload") -> Data
     return df.withColumns({c["name"]: F.get_json_object(payload, f"$.{c.get('path', c['name'])}") for c in contract["columns"]})
 
 
+#: Top-level keys that a source's messages have beside those of the contract's columns.
+ENVELOPES = {
+    "cbs_cdc_event": ("op", "ts_ms", "source", "before", "after"),
+    "pay_transaction": ("end_to_end_id", "debtor", "creditor", "amount", "charges", "remittance"),
+    "crm_customer": ("profile", "identifiers", "addresses", "contacts", "consent", "source_channel"),
+}
+
+
+def known_keys(contract: dict) -> list[str]:
+    """The top-level keys that this entity's messages are known to have; another entity's are drift here."""
+    return sorted({c.get("path", c["name"]).split(".")[0] for c in contract["columns"]} | set(ENVELOPES.get(contract["entity"], ())))
+
+
 def json_key_drift(df: DataFrame, known: list[str], payload: str = "payload", file: str = "_source_file") -> DataFrame:
     """Top-level keys that the contract doesn't know, by file."""
     keys = df.select(file, F.explode(F.json_object_keys(payload)).alias("field"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from pathlib import Path
+import io
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +27,14 @@ def check(name: str, expected: DataFrame, actual: DataFrame, explained: DataFram
 
 
 def report(results: DataFrame, folder: str) -> str:
-    """The mismatches as a CSV file on the driver; results are a few rows a batch."""
-    path = Path(folder)
-    path.mkdir(parents=True, exist_ok=True)
-    target = path / "mismatch_report.csv"
-    with target.open("w", newline="") as f:
-        out = csv.writer(f)
-        out.writerow(results.columns)
-        out.writerows(results.where("status = 'MISMATCH'").collect())
+    """The mismatches as one CSV file in a folder of any file system; results are a few rows a batch."""
+    text = io.StringIO()
+    out = csv.writer(text)
+    out.writerow(results.columns)
+    out.writerows(results.where("status = 'MISMATCH'").orderBy(*results.columns).collect())
+    spark = results.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/mismatch_report.csv")
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(text.getvalue().encode()))
+    stream.close()
     return str(target)

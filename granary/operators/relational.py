@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset and all runs in one process, as in tests."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if top:
+        return top
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"file://{tempfile.gettempdir()}/{name}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage: checkpointed in the cluster's shared folder (a temporary one only where spark.checkpoint.dir is unset)."""
+    """df without its lineage: checkpointed in the cluster's shared folder."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/granary-checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "granary-checkpoints"))
     return df.checkpoint()
 
 
@@ -33,6 +43,20 @@ def record_hash(columns: list[Column]) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns]), 256)
 
 
+def ranked(df: DataFrame, value: str, tie: str, place: str = "place", ranges: int = 256) -> DataFrame:
+    """df with each row's place (from 1) by value, highest first, nulls last, then by tie.
+
+    Rows are dealt to ranges between quantiles; a place is the count of rows in higher ranges and the place within its own.
+    """
+    cuts = df.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)])).first()[0] or []
+    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    dealt = df.withColumn("_range", F.when(F.col(value).isNull(), -1).otherwise(F.size(F.filter(limits, lambda c: c <= F.col(value)))))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_rows"))  # as many rows as there are ranges
+    ahead = counts.select("_range", F.coalesce(F.sum("_rows").over(Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(value).desc_nulls_last(), tie))
+    return dealt.withColumn("_within", within).join(F.broadcast(ahead), "_range").withColumn(place, (F.col("_ahead") + F.col("_within")).cast("long")).drop("_range", "_within", "_ahead")
+
+
 def as_of(versions: DataFrame, day: Column | str, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
     """The versions in force on a day."""
     d = F.lit(day).cast("date") if isinstance(day, str) else day

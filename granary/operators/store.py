@@ -1,8 +1,8 @@
 """A snapshot table store over Parquet: atomic commits, partition overwrite, merge, time travel, rollback.
 
 A table is a folder.  ``data/<uuid>`` folders are written once and never changed; ``_log/<version>.json`` lists the
-data folders that are live in a version.  A commit writes its data first and then creates the next log file exclusively, so of
-two writers one fails, and a job that dies before that leaves nothing but unlisted files.  Data reaches and leaves the
+data folders that are live in a version.  A commit writes its data first, then the whole log entry under a name of its own, and then moves that
+to the next version's name, which must not be there: readers see an entry whole or not at all, of two writers one fails, and a job that dies before that leaves nothing but unlisted files.  Data reaches and leaves the
 store through Spark's readers and writers only; the log goes through Hadoop's file system, so a table can lie wherever Spark can write.
 """
 
@@ -36,7 +36,8 @@ class Table:
         log = self._at("_log")
         if not self._fs.exists(log):
             return []
-        return sorted(int(f.getPath().getName().split(".")[0]) for f in self._fs.listStatus(log) if f.getPath().getName().endswith(".json"))
+        names = [f.getPath().getName() for f in self._fs.listStatus(log)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("_"))
 
     def _entry(self, version: int) -> dict:
         stream = self._fs.open(self._at("_log", f"{version:020d}.json"))
@@ -48,13 +49,17 @@ class Table:
     def _commit(self, operation: str, schema: str, partition_by: list[str], live: list[dict], parent: int | None, batch: str | None) -> int:
         version = 0 if parent is None else parent + 1
         entry = {"version": version, "parent": parent, "committed_at": time.time(), "operation": operation, "schema": schema, "partition_by": partition_by, "live": live, "batch_id": batch}
-        log = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_log/{version:020d}.json")
+        log, draft = self._at("_log", f"{version:020d}.json"), self._at("_log", f"_{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        stream.write(bytearray(json.dumps(entry).encode()))
+        stream.close()
+        fs = self._jvm.org.apache.hadoop.fs
+        files = fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
         try:
-            stream = self._fs.create(log, False)
+            files.rename(self._fs.makeQualified(draft), self._fs.makeQualified(log), self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 0))
         except Exception as e:
+            self._fs.delete(draft, False)
             raise CommitConflict(f"version {version} of {self.path} is there already") from e
-        stream.write(bytearray(json.dumps(entry).encode()))
-        stream.close()
         return version
 
     def _current(self) -> dict | None:
@@ -115,6 +120,14 @@ class Table:
         gone = [x["values"] for x in new]
         return self._commit("overwrite_partitions", now["schema"], now["partition_by"], [x for x in now["live"] if x["values"] not in gone] + new, now["version"], batch)
 
+    def replace_partitions(self, values: dict, df: DataFrame, batch: str | None = None) -> int:
+        """What stands in the partitions of these values goes and df's rows come, if it has any, in one commit."""
+        now = self._current()
+        new = self._write(self._shaped(df, now), now["partition_by"])
+        gone = [x["values"] for x in new]
+        stays = lambda x: x["values"] not in gone and not all((x["values"] or {}).get(k) == str(v) for k, v in values.items())
+        return self._commit("replace_partitions", now["schema"], now["partition_by"], [x for x in now["live"] if stays(x)] + new, now["version"], batch)
+
     def delete(self, where: str, batch: str | None = None) -> int:
         """Rows that the condition holds for go; only folders that have such rows are written anew."""
         now, live = self._current(), []

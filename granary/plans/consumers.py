@@ -5,12 +5,12 @@ Each function takes the lakehouse, and reads certified tables only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import banking
 from ..operators import audit, reconcile
-from ..operators.relational import as_of
+from ..operators.relational import as_of, cut, ranked
 
 #: Rates and spreads of the indicators.
 SPREADS = {"casa_spread": 0.030, "td_spread": 0.015, "fee_window_days": 30.0, "annualisation_factor": 12.0}
@@ -56,10 +56,12 @@ def relationship_value(house, day: str) -> DataFrame:
 
 
 def profitability(house, day: str) -> DataFrame:
-    """Parties by annual value within their segment: no window over all parties."""
+    """Parties by annual value, with their place among all.
+
+    A place is what stands in higher ranges of values and the place within its own range, so no task holds all parties.
+    """
     parties = as_of(house.read("gold", "dim_party"), day).select("party_id", F.coalesce("segment", F.lit("UNRESOLVED")).alias("segment"))
-    ranked = Window.partitionBy("segment").orderBy(F.desc("crv"), "party_id")
-    return relationship_value(house, day).join(parties, "party_id", "left").withColumn("place", F.row_number().over(ranked))
+    return ranked(cut(relationship_value(house, day).join(parties, "party_id", "left")), "crv", "party_id")
 
 
 def load(house, day: str) -> None:
@@ -68,7 +70,7 @@ def load(house, day: str) -> None:
     house._all("ref", "kpi_parameter", parameters(house), batch)
     house._all("ref", "kpi_definition", definitions(house), batch)
     for name, build in (("reg_asset_classification", asset_classification), ("reg_deposit_composition", deposit_composition), ("rpt_customer_profitability", profitability)):
-        house._put(house.table("semantic", name), build(house, day), ["reporting_date"], batch)
+        house._put(house.table("semantic", name), build(house, day), ["reporting_date"], day, batch)
 
 
 def dash_recon(house) -> DataFrame:

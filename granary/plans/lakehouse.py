@@ -145,29 +145,28 @@ class Lakehouse:
             if fail:
                 good = good.withColumn("_ingested_at", F.coalesce(F.raise_error(F.lit(f"planted failure during {entity}")).cast("timestamp"), F.col("_ingested_at")))
             t = self.table("bronze", entity)
-            self._put(t, good, ["_business_date"], batch)
+            self._put(t, good, ["_business_date"], day, batch)
             quarantine = bad.select(F.lit(entity).alias("_entity"), "_business_date", F.concat_ws(":", "_source_file", "_source_row").alias("_position"), "_record", "_reject_reasons")
             q = self.table("bronze", "quarantine")
             q.ensure("_entity string, _business_date date, _position string, _record string, _reject_reasons array<string>", ["_business_date", "_entity"])
             q.delete(f"_entity = '{entity}' AND _business_date = DATE '{day}'", batch)
             q.append(quarantine, batch)
             if c["format"] in ("jsonl", "json_array"):
-                known = {x.get("path", x["name"]).split(".")[0] for x in c["columns"]} | {"op", "ts_ms", "source", "before", "after", "end_to_end_id", "debtor", "creditor", "amount", "charges", "remittance", "profile", "identifiers", "addresses", "contacts", "consent", "source_channel"}
-                drift = contract.json_key_drift(checked, sorted(known)).select(F.lit(batch), F.lit(entity), "_source_file", "field", "drift").toDF(*[x.split()[0] for x in DRIFT.split(", ")])
+                drift = contract.json_key_drift(checked, contract.known_keys(c)).select(F.lit(batch), F.lit(entity), "_source_file", "field", "drift").toDF(*[x.split()[0] for x in DRIFT.split(", ")])
                 log = self.table("ref", "schema_drift")
                 log.ensure(DRIFT)
-                log.append(drift, batch)
+                log.replace_rows(f"batch_id = '{batch}' AND entity = '{entity}'", drift, batch)
             return counts
         finally:
             checked.unpersist()
 
     @staticmethod
-    def _put(t: Table, df: DataFrame, partition_by: list[str], batch: str) -> None:
+    def _put(t: Table, df: DataFrame, partition_by: list[str], day: str, batch: str) -> None:
         """A daily table's rows of the day; a day without rows loses those it had."""
-        if not t.exists:
+        if t.exists:
+            t.replace_partitions({partition_by[0]: day}, df, batch)
+        else:
             t.create(df, partition_by, batch)
-        elif df.limit(1).count():
-            t.overwrite_partitions(df, batch)
 
     def slice(self, layer: str, name: str, day: str) -> DataFrame | None:
         t = self.table(layer, name)
@@ -204,7 +203,7 @@ class Lakehouse:
             snapshot = self._typed(f"cbs_{name}", day)
             stamp = source_instant(F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")) if "updated_at" in columns else F.to_timestamp(F.lit(f"{day} 00:00:00"))
             if snapshot is not None:
-                parts.append(snapshot.select(*columns, stamp.alias("_src_ts"), "_src_position", F.lit(False).alias("_is_deleted"), F.lit("c").alias("_src_op"), F.lit(0).cast("bigint").alias("_pos")))
+                parts.append(snapshot.select(*columns, stamp.alias("_src_ts"), "_src_position", F.lit(False).alias("_is_deleted"), F.lit(None).cast("string").alias("_src_op"), F.lit(0).cast("bigint").alias("_pos")))
             if changes is not None and name in ("customer", "account"):
                 images = cdc.images(changes, c)
                 first, again = cdc.resent(images)
@@ -222,8 +221,8 @@ class Lakehouse:
             if name == "account":
                 rows = rows.withColumn("account_key", F.concat(F.lit("ACC:CBS:"), "acct_no"))
             target = self.read("silver", f"cbs_{name}")
-            if target is not None and name == "customer":
-                exceptions.append(cdc.merge_exceptions(rows.where("_src_position LIKE 'bin%'"), target, [key]).withColumn("_source_row", F.lit(0)))
+            if target is not None and changes is not None and name in ("customer", "account"):
+                exceptions.append(cdc.merge_exceptions(rows.where("_src_op IS NOT NULL"), target, [key]).withColumn("_source_row", F.lit(0)))
             self._state(f"cbs_{name}", rows.drop("_src_op", "_pos"), [key], day)
         self._extract("lms_borrower", ["borrower_id"], day, lambda df: standard.person(df).withColumn("borrower_key", F.concat(F.lit("BRW:LMS:"), "borrower_id")))
         self._extract("crm_customer", ["crm_id"], day, self._crm)
@@ -238,7 +237,7 @@ class Lakehouse:
         for entity, (keys, build) in daily.items():
             df = self._typed(entity, day)
             if df is not None:
-                self._put(self.table("silver", entity), build(latest(df, keys, [F.col("_source_row")])).withColumn("business_date", d), ["business_date"], batch)
+                self._put(self.table("silver", entity), build(latest(df, keys, [F.col("_source_row")])).withColumn("business_date", d), ["business_date"], day, batch)
         log = self.table("silver", "cdc_exception")
         log.ensure("business_date date, position string, exception string, action string", ["business_date"])
         log.delete(f"business_date = DATE '{day}'", batch)
@@ -383,7 +382,7 @@ class Lakehouse:
         loans = daily.join(borrower, "borrower_id", "left").select("loan_key", "loan_id", F.coalesce("party_id", F.lit("UNKNOWN")).alias("party_id"), "product_code", "branch_code", "loan_status", "sanction_amount", "interest_rate")
         held = self.table("bronze", "quarantine").read(partitions={"_business_date": day, "_entity": "lms_loan"}).select(F.concat(F.lit("LN:LMS:"), F.get_json_object("_record", "$.loan_id")).alias("loan_key"))
         loans = self._step("dim_loan", loans, ["loan_key"], ["party_id", "product_code", "branch_code", "loan_status", "interest_rate"], day, held)
-        products = self.read("silver", "cbs_product").withColumn("deposit_type", F.when(F.col("product_type") == "SA", "SAVINGS").when(F.col("product_type") == "CA", "CURRENT").when(F.col("product_type") == "TD", "TERM")).withColumn("is_casa", F.coalesce(F.col("deposit_type").isin("SAVINGS", "CURRENT"), F.lit(False)))
+        products = self.read("silver", "cbs_product", batch).where("NOT _is_deleted").withColumn("deposit_type", F.when(F.col("product_type") == "SA", "SAVINGS").when(F.col("product_type") == "CA", "CURRENT").when(F.col("product_type") == "TD", "TERM")).withColumn("is_casa", F.coalesce(F.col("deposit_type").isin("SAVINGS", "CURRENT"), F.lit(False)))
         self._all("gold", "dim_product", products.select("product_code", "product_name", "product_type", "domain", "deposit_type", "is_casa", "base_rate"), batch)
         self._all("gold", "dim_branch", self.read("silver", "cbs_branch").where("NOT _is_deleted").select("branch_code", "ifsc", "branch_name", "city", "state", "region", "opened_on"), batch)
         self._all("gold", "dim_currency", self.spark.createDataFrame(CURRENCIES, "currency_code string, currency_name string, inr_rate double"), batch)
@@ -395,16 +394,16 @@ class Lakehouse:
         account_now = as_of(accounts, day).select("account_key", F.col("surrogate_key").alias("account_sk"), "party_id", "product_code", "branch_code")
         party_now = as_of(parties, day).select("party_id", F.col("surrogate_key").alias("party_sk"))
         balances = self.slice("silver", "cbs_eod_balance", day).join(account_now, "account_key", "left").withColumn("party_id", F.coalesce("party_id", F.lit("UNKNOWN"))).join(party_now, "party_id", "left").join(products.select("product_code", "deposit_type", "is_casa"), "product_code", "left")
-        self._put(self.table("gold", "fact_deposit_balance_daily"), balances.select(banking.date_key(d).alias("date_key"), d.alias("business_date"), "party_id", "party_sk", "account_key", "account_sk", "product_code", "deposit_type", "is_casa", "branch_code", F.col("ledger_balance"), "balance_inr", F.col("_src_position").alias("src_position")), ["business_date"], batch)
+        self._put(self.table("gold", "fact_deposit_balance_daily"), balances.select(banking.date_key(d).alias("date_key"), d.alias("business_date"), "party_id", "party_sk", "account_key", "account_sk", "product_code", "deposit_type", "is_casa", "branch_code", F.col("ledger_balance"), "balance_inr", F.col("_src_position").alias("src_position")), ["business_date"], day, batch)
         loan_now = as_of(loans, day).select("loan_key", F.col("surrogate_key").alias("loan_sk"), F.col("party_id"))
         cls = F.when(F.col("loan_status") == "CLOSED", "CLOSED").otherwise(banking.asset_class(F.col("dpd"), F.col("loss_flag") == "Y"))
         positions = daily.join(loan_now, "loan_key", "left").withColumn("party_id", F.coalesce("party_id", F.lit("UNKNOWN"))).join(party_now, "party_id", "left").withColumn("asset_class", cls)
         npa = F.col("asset_class").isin(*[k for k in banking.PROVISION if k != "STANDARD"])
         facts = positions.select(banking.date_key(d).alias("date_key"), d.alias("business_date"), "party_id", "party_sk", "loan_key", "loan_sk", "product_code", "branch_code", "dpd", banking.sma_status(F.col("dpd")).alias("sma_status"), "asset_class", npa.alias("is_npa"), F.when(npa, F.date_sub("as_of_date", (F.col("dpd") - banking.NPA_DPD).cast("int"))).alias("npa_since"), "principal_outstanding", "principal_overdue", "interest_overdue", banking.provision_rate(F.col("asset_class")).alias("provision_rate"), (F.regexp_replace("asset_class", r"_\d$", "") != F.col("src_asset_class")).alias("class_differs_from_source"), F.col("_src_position").alias("src_position"))
-        self._put(self.table("gold", "fact_loan_position_daily"), facts, ["business_date"], batch)
+        self._put(self.table("gold", "fact_loan_position_daily"), facts, ["business_date"], day, batch)
         pay = self.slice("silver", "pay_transaction", day).where("account_key IS NOT NULL").join(account_now.drop("product_code"), "account_key", "left").withColumn("party_id", F.coalesce("party_id", F.lit("UNKNOWN"))).join(party_now, "party_id", "left")
         pay = pay.select(banking.date_key(d).alias("date_key"), d.alias("business_date"), "party_id", "party_sk", "msg_id", "account_key", "account_sk", "branch_code", "value_date", "channel", "direction", "status", F.col("amount_inr").alias("amount"), "fee_amount", "gst_amount", "counterparty_account", "is_on_us", F.col("_src_position").alias("src_position"))
-        self._put(self.table("gold", "fact_payment"), pay, ["business_date"], batch)
+        self._put(self.table("gold", "fact_payment"), pay, ["business_date"], day, batch)
         self._alerts(day, batch, account_now, parties)
 
     def _alerts(self, day: str, batch: str, account_now: DataFrame, parties: DataFrame) -> None:
@@ -421,7 +420,7 @@ class Lakehouse:
         earlier = t.read() if t.exists else None
         seen = earlier.where(F.col("business_date") < d).select("rule_code", F.col("subject_key").alias("subject")) if earlier is not None else alerts.select("rule_code", "subject").limit(0)
         out = aml.with_novelty(alerts, seen).select(aml.alert_id(F.col("rule_code"), F.col("subject"), d).alias("alert_id"), d.alias("business_date"), "rule_code", severity.alias("severity"), "subject_type", F.col("subject").alias("subject_key"), F.coalesce("party_id", F.lit("UNKNOWN")).alias("party_id"), "amount", "evidence", "is_new")
-        self._put(t, cut(out), ["business_date"], batch)
+        self._put(t, cut(out), ["business_date"], day, batch)
 
     # reconciliation
     def recon(self, day: str) -> None:

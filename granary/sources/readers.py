@@ -36,22 +36,32 @@ def dump_columns(text: str, table: str) -> list[str]:
 
 _ESCAPES = {"n": "\n", "t": "\t", "0": "\0", "r": "\r"}
 _TOKEN = re.compile(r"'((?:[^'\\]|\\.|'')*)'|([^,()']+)|([,()])", re.S)
+_EMPTY = object()
+
+
+def _unquoted(text: str) -> str:
+    return re.sub(r"\\(.)|''", lambda x: "'" if x[1] is None else _ESCAPES.get(x[1], x[1]), text, flags=re.S)
 
 
 def tuples(values: str) -> Iterator[list[str | None]]:
-    """Rows of an extended INSERT's VALUES: quotes, backslash escapes and doubled quotes undone; a bare NULL is None."""
+    """Rows of an extended INSERT's VALUES: quotes, backslash escapes and doubled quotes undone; a bare null in any case is None,
+    and nothing between two commas is an empty text, so that later values keep their places."""
     row: list[str | None] | None = None
+    value: object = _EMPTY
     for m in _TOKEN.finditer(values):
         quoted, bare, mark = m.groups()
-        if mark == "(" and row is None:
-            row = []
-        elif mark == ")" and row is not None:
-            yield row
-            row = None
-        elif row is not None and quoted is not None:
-            row.append(re.sub(r"\\(.)|''", lambda x: "'" if x[1] is None else _ESCAPES.get(x[1], x[1]), quoted, flags=re.S))
-        elif row is not None and bare is not None and bare.strip():
-            row.append(None if bare.strip() == "NULL" else bare.strip())
+        if row is None:
+            row, value = ([] if mark == "(" else None), _EMPTY
+        elif quoted is not None:
+            value = _unquoted(quoted)
+        elif bare is not None and bare.strip():
+            value = None if bare.strip().upper() == "NULL" else bare.strip()
+        elif mark in (",", ")"):
+            row.append("" if value is _EMPTY else value)
+            value = _EMPTY
+            if mark == ")":
+                yield row
+                row = None
 
 
 def read_dump(spark: SparkSession, paths: str | list[str], table: str, columns: list[str]) -> DataFrame:

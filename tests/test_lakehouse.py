@@ -94,3 +94,28 @@ def test_live_match(spark):
     b = {"src_system": "CRM", "src_key": "2", "full_name": "Sharma Ravi Kumer", "dob": "1980-01-02", "address": "1 MG Road, Pune 411001"}
     c = {"src_system": "LMS", "src_key": "3", "full_name": "Someone Else", "dob": "1980-01-02", "address": "9 X Pune 411001"}
     assert live_match([a, b, c], spark).count() == 2
+
+
+def test_a_day_run_again_without_rows_loses_its_old_ones(spark, tmp_path):
+    house = Lakehouse(spark, f"file://{tmp_path}/w", f"file://{tmp_path}/l")
+    t = house.table("silver", "x")
+    day = lambda d, *v: spark.createDataFrame([(x, d) for x in v], "v int, business_date string").selectExpr("v", "CAST(business_date AS DATE) AS business_date")
+    house._put(t, day("2026-01-01", 1, 2), ["business_date"], "2026-01-01", "a")
+    house._put(t, day("2026-01-02", 3), ["business_date"], "2026-01-02", "b")
+    house._put(t, day("2026-01-01"), ["business_date"], "2026-01-01", "a")
+    assert rows(t.read(), "v") == [(3,)]
+    house._put(t, day("2026-01-02", 4, 5), ["business_date"], "2026-01-02", "b")
+    assert rows(t.read(), "v") == [(4,), (5,)] and rows(t.read(version=1), "v") == [(1,), (2,), (3,)]
+
+
+def test_places_of_customers_are_global(house):
+    r = house.read("semantic", "rpt_customer_profitability").where(F.col("reporting_date") == DATES[1])
+    got = [(-x.crv, x.party_id) for x in r.orderBy("place").collect()]
+    assert got == sorted(got) and [x.place for x in r.orderBy("place").collect()] == list(range(1, len(got) + 1))
+
+
+def test_report_of_mismatches(house, tmp_path):
+    from granary.operators import reconcile
+
+    results = house.read("ref", "recon_results")
+    assert open(reconcile.report(results, f"file://{tmp_path}/r").removeprefix("file:")).read().splitlines() == [",".join(results.columns)]

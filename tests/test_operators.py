@@ -170,3 +170,46 @@ def test_small_functions(spark):
     assert [r[0] for r in s.select(reconcile.status(F.col("e"), F.col("a"), F.col("x"))).collect()] == ["MATCHED", "EXPLAINED", "MISMATCH"]
     assert contract.header_drift(["a", "x"], {"columns": [{"name": "a"}, {"name": "b"}]}) == [("NEW_COLUMN", "x"), ("MISSING_COLUMN", "b")]
     assert audit.error_summary(ValueError("a\nCaused by: java.lang.IllegalStateException: inner\n\tat x")) == "Caused by: java.lang.IllegalStateException: inner"
+
+
+def test_dump_values_keep_their_places():
+    from granary.sources.readers import tuples
+
+    assert list(tuples("(1,,'a'),(null,'b''c\\n', NULL ),( 5 ,'x,(y)','')")) == [["1", "", "a"], [None, "b'c\n", None], ["5", "x,(y)", ""]]
+
+
+def test_key_drift_is_by_entity():
+    from granary.operators.contract import known_keys
+    from granary.sources.contracts import CONTRACTS
+
+    assert "profile" in known_keys(CONTRACTS["crm_customer"]) and "profile" not in known_keys(CONTRACTS["pay_transaction"])
+    assert "before" not in known_keys(CONTRACTS["pay_transaction"])
+
+
+def test_ranked(spark):
+    from granary.operators.relational import ranked
+
+    rows = [(i, float(i * 7919 % 50)) for i in range(500)] + [(1000, None)]
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    got = ranked(spark.createDataFrame(rows, "id int, v double"), "v", "id", ranges=16).orderBy("place").collect()
+    assert [(r.id, r.v) for r in got] == want and [r.place for r in got] == list(range(1, 502))
+    assert ranked(spark.createDataFrame([], "id int, v double"), "v", "id").collect() == []
+
+
+def test_commits_are_whole_and_exclusive(spark, tmp_path):
+    from granary.operators.store import CommitConflict, Table
+
+    t = Table(spark, f"file://{tmp_path}/t")
+    t.create(spark.range(3))
+    with pytest.raises(CommitConflict):
+        t._commit("append", t._current()["schema"], [], [], None, None)
+    t.append(spark.range(2))
+    assert t.versions() == [0, 1] and t.read().count() == 5
+    assert not [x for x in (tmp_path / "t" / "_log").iterdir() if x.name.startswith("_")]
+
+
+def test_an_instant_with_two_states(spark):
+    from granary.operators import audit
+
+    rows = spark.createDataFrame([("b", "silver", "*", s) for s in ("COMPLETED", "STARTED")], "batch_id string, stage string, entity string, status string").selectExpr("*", "TIMESTAMP '2026-01-01 00:00:00' AS at")
+    audit.require_completed(rows, "b", "silver")
