@@ -7,7 +7,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import cleansing, history, records, resolution, semantic, surveillance
+from .operators.relational import cut, ranked
+from .plans import cleansing, history, oracles, records, resolution, semantic, surveillance
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +21,13 @@ def _view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return semantic.run(spark, view, read(spark, sf_dir, *semantic.TABLES))
 
 
-QUERIES: dict[str, Query] = {view: partial(_view, view=view) for view in semantic.QUERIES}
-ORACLES: dict[str, str] = {view: semantic.oracle(view) for view in semantic.QUERIES}
+def profitability_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every party's place by annual value among all, without all of them in one task."""
+    return ranked(cut(_view(spark, sf_dir, "crv_total").select("segment", "party_id", "crv")), "crv", "party_id")
+
+
+QUERIES: dict[str, Query] = {view: partial(_view, view=view) for view in semantic.QUERIES} | {"profitability_rank": profitability_rank}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 for _module in (cleansing, records, history, resolution, surveillance):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

@@ -102,8 +102,6 @@ VIEWS: dict[str, str] = {
         FROM (${crv_total}) t GROUP BY segment, CASE WHEN crv >= 100000 THEN 'PLATINUM' WHEN crv >= 25000 THEN 'GOLD' WHEN crv >= 5000 THEN 'SILVER' ELSE 'BASE' END""",
     "crv_top25": """
         SELECT place, party_id, segment, crv FROM (SELECT CAST(ROW_NUMBER() OVER (ORDER BY crv DESC, party_id) AS BIGINT) AS place, party_id, segment, crv FROM (${crv_total}) t) x WHERE place <= 25""",
-    "profitability_rank": """
-        SELECT segment, party_id, CAST(ROW_NUMBER() OVER (PARTITION BY segment ORDER BY crv DESC, party_id) AS BIGINT) AS place, crv FROM (${crv_total}) t""",
     "size_bands": """
         SELECT deposit_type, band, COUNT(*) AS accounts, CAST(SUM(balance) AS DOUBLE) AS balance
         FROM (SELECT deposit_type, account, SUM(balance) AS balance, CASE WHEN SUM(balance) < 50000 THEN 'UNDER_50K' WHEN SUM(balance) < 100000 THEN '50K_100K' WHEN SUM(balance) < 200000 THEN '100K_200K' ELSE 'OVER_200K' END AS band
@@ -125,7 +123,7 @@ VIEWS: dict[str, str] = {
         FROM (${crv_segment}) b CROSS JOIN (SELECT CAST(SUM(CAST(crv AS DECIMAL(18,2))) AS DOUBLE) AS v FROM (${crv_total}) k) c""",
 }
 #: Views that consumers read; the others are building blocks.
-QUERIES = ["npa_exposure", "npa_trend", "npa_breakdown", "npa_borrowers", "casa_ratio", "casa_breakdown", "casa_change", "crv_component", "crv_total", "crv_segment", "crv_top25", "profitability_rank", "size_bands", "party_by_product", "kpi_consistency"]
+QUERIES = ["npa_exposure", "npa_trend", "npa_breakdown", "npa_borrowers", "casa_ratio", "casa_breakdown", "casa_change", "crv_component", "crv_total", "crv_segment", "crv_top25", "size_bands", "party_by_product", "kpi_consistency"]
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -155,10 +153,6 @@ def render(text: str, values: dict[str, str], days: str) -> str:
     return re.sub(r"DAYS\(([^;()]*(?:\([^()]*\))?[^;()]*); ([^()]*(?:\([^()]*\))?[^()]*)\)", lambda m: days.format(a=m[1], b=m[2]), out)
 
 
-def oracle(view: str) -> str:
-    return render(VIEWS[view], {t: t for t in TABLES}, "date_diff('day', {b}, {a})")
-
-
 def run(spark: SparkSession, view: str, tables: dict[str, DataFrame]) -> DataFrame:
     text = render(VIEWS[view], {t: f"{{{t}}}" for t in TABLES}, "datediff({a}, {b})")
     return spark.sql(text, **{t: df for t, df in tables.items() if f"{{{t}}}" in text})

@@ -132,7 +132,7 @@ def profiler_score(t):
 _VISUAL = semantic.visual_sql("{npa}", {"region": "[region]", "asset_class": "[asset_class]"}, {"gross": "ROUND(SUM([gross_npa]) / 100000, 2)", "loans": "SUM([loans])"}, ["[gross_npa] > 0"])
 
 
-@add(_VISUAL.format(npa=f"({semantic.oracle('npa_breakdown')}) v").replace("SUM(loans)", "CAST(SUM(loans) AS BIGINT)"))
+@add()
 def visual_query(t):
     tables = {n: t(n) for n in semantic.TABLES}
     view = semantic.run(t("region").sparkSession, "npa_breakdown", tables)
