@@ -102,6 +102,36 @@ def dash_aml_alert(house) -> DataFrame:
     return alerts.join(house.read("gold", "dim_party").where("is_current").select("party_id", "full_name", "segment"), "party_id", "left")
 
 
+def dash_match_quality(house) -> DataFrame:
+    """Entity resolution against the generator's truth, as each batch left it."""
+    t = house.table("mdm", "match_quality")
+    batches = sorted({r.batch_id for r in t.history().select("batch_id").collect() if r.batch_id})
+    rows = [t.read(batch=b).select("batch_id", F.col("precision").alias("match_precision"), F.col("recall").alias("match_recall"), "split_persons", "merged_parties") for b in batches]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.withColumn("is_latest", (F.col("batch_id") == batches[-1]).cast("int"))
+
+
+def batch_snapshots(table) -> DataFrame:
+    """A table's snapshot before and after every committed step of a batch."""
+    return table.history().where("batch_id IS NOT NULL").select("batch_id", "operation", F.col("parent").alias("snapshot_before"), F.col("version").alias("snapshot_after"), "committed_at")
+
+
+def ratio_as_reported(table, version: int) -> DataFrame:
+    """The share of current and savings balances that a submitted dataset (reporting_date, deposit_type, balance) said at a version, whatever restated it later."""
+    rows = table.read(version=version).groupBy("reporting_date").agg(F.sum(F.when(F.col("deposit_type").isin("SAVINGS", "CURRENT"), F.col("balance")).otherwise(0)).cast("double").alias("casa_balance"), F.sum("balance").cast("double").alias("deposits"))
+    return rows.withColumn("casa_ratio", F.round(F.col("casa_balance") / F.col("deposits"), 6))
+
+
+def versions_of(dimension: DataFrame, keys: list[str], **values) -> DataFrame:
+    """Every business version of a key, as rows of the current snapshot, in order."""
+    found = dimension
+    for k in keys:
+        found = found.where(F.col(k) == values[k])
+    return found.orderBy("version")
+
+
 def kpi_checks(house, day: str) -> DataFrame:
     """Every consumer's figure against gold's: one row each."""
     d = F.col("reporting_date") == F.lit(day).cast("date")
@@ -124,11 +154,12 @@ def kpi_checks(house, day: str) -> DataFrame:
 
 
 def unresolved(house, day: str) -> DataFrame:
-    """Accounts without a party, and why: their owner is in quarantine or hasn't come yet."""
+    """Accounts without a party, and why: their owner is in quarantine or hasn't come yet; NULL where the owner is there."""
     facts = house.slice("gold", "fact_deposit_balance_daily", day).where("party_id = 'UNKNOWN'").select("account_key").distinct()
     owners = house.read("silver", "cbs_account").select("account_key", F.col("cust_id").cast("string").alias("cust_id"))
-    held = house.read("bronze", "quarantine").where("_entity = 'cbs_customer'").select(F.get_json_object("_record", "$.cust_id").alias("cust_id"), F.lit("QUARANTINED").alias("why")).distinct()
-    return facts.join(owners, "account_key", "left").join(held, "cust_id", "left").select("account_key", "cust_id", F.coalesce("why", F.lit("NOT_YET_RECEIVED")).alias("why"))
+    held = house.read("bronze", "quarantine").where((F.col("_entity") == "cbs_customer") & (F.col("_business_date") <= F.lit(day).cast("date"))).select(F.get_json_object("_record", "$.cust_id").alias("cust_id"), F.lit("QUARANTINED").alias("why")).distinct()
+    there = house.read("silver", "cbs_customer", house.batch(day)).where("NOT _is_deleted").select(F.col("cust_id").cast("string").alias("cust_id"), F.lit(True).alias("there"))
+    return facts.join(owners, "account_key", "left").join(held, "cust_id", "left").join(there, "cust_id", "left").select("account_key", "cust_id", F.when(F.col("there").isNull(), F.coalesce("why", F.lit("NOT_YET_RECEIVED"))).alias("why"))
 
 
 def mapping_gaps(df: DataFrame, mapped: list[str]) -> list[str]:

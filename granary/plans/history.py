@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import relational, scd2, store
+from . import consumers
 from .registry import Registry
 
 _r = Registry()
@@ -31,7 +33,8 @@ _HISTORY_SQL = f"""
 
 
 def _snapshot(t, month: str) -> DataFrame:
-    orders = t("orders").where(F.date_format("o_orderdate", "yyyy-MM") == month)
+    first = F.lit(f"{month}-01").cast("date")  # a range that reaches the scan
+    orders = t("orders").where((F.col("o_orderdate") >= first.cast("timestamp_ntz")) & (F.col("o_orderdate") < F.add_months(first, 1).cast("timestamp_ntz")))
     return relational.latest(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select(F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
 
 
@@ -102,15 +105,15 @@ _BEFORE = "SELECT c_custkey, c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM
 _AFTER = "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM customer WHERE c_custkey % 10 <> 8"
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{relational.shared_folder(spark, 'granary-work').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _versions(t) -> store.Table:
     """A stored table of two versions: some rows change, go and come."""
-    import tempfile
-    import uuid
-
     rows = t("customer").select("c_custkey", "c_mktsegment", F.round("c_acctbal", 2).alias("c_acctbal"))
     spark = rows.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/granary-work"
-    table = store.Table(spark, f"{top}/customers-{uuid.uuid4().hex}")
+    table = store.Table(spark, _folder(spark, "customers"))
     table.create(rows.where("c_custkey % 10 <> 9"), batch="B1")
     table.overwrite(rows.where("c_custkey % 10 <> 8").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 7 == 0, "MOVED").otherwise(F.col("c_mktsegment"))), batch="B2")
     return table
@@ -135,6 +138,34 @@ def time_travel_union(t):
     return shown(table.read(version=0), "before").unionByName(shown(table.read(version=1), "after"))
 
 
+@add("SELECT 'B1' AS batch_id, 'create' AS operation, CAST(NULL AS BIGINT) AS snapshot_before, CAST(0 AS BIGINT) AS snapshot_after UNION ALL SELECT 'B2', 'overwrite', 0, 1")
+def batch_snapshots(t):
+    return consumers.batch_snapshots(_versions(t)).select("batch_id", "operation", "snapshot_before", "snapshot_after")
+
+
+@add(f"SELECT 'then' AS version, c_custkey, c_mktsegment, c_acctbal FROM ({_BEFORE}) b UNION ALL SELECT 'now', c_custkey, c_mktsegment, c_acctbal FROM ({_AFTER}) a")
+def record_as_of_time(t):
+    """Every record as it stood at a moment between two commits, and now."""
+    table = _versions(t)
+    commits = [r.committed_at for r in table.history().orderBy("version").select("committed_at").collect()]
+    shown = lambda df, name: df.select(F.lit(name).alias("version"), "c_custkey", "c_mktsegment", "c_acctbal")
+    return shown(table.read(timestamp=(commits[0] + commits[1]) / 2), "then").unionByName(shown(table.read(timestamp=commits[1]), "now"))
+
+
+_COMPOSITION = "SELECT CAST(year(l_shipdate) AS BIGINT) AS reporting_date, CASE l_returnflag WHEN 'A' THEN 'SAVINGS' WHEN 'R' THEN 'CURRENT' ELSE 'TERM' END AS deposit_type, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem"
+
+
+@add(f"SELECT reporting_date, CAST(sum(c) FILTER (deposit_type <> 'TERM') AS DOUBLE) / 100 AS casa_balance, CAST(sum(c) AS DOUBLE) / 100 AS deposits, round((CAST(sum(c) FILTER (deposit_type <> 'TERM') AS DOUBLE) / 100) / (CAST(sum(c) AS DOUBLE) / 100), 6) AS casa_ratio FROM ({_COMPOSITION}) x GROUP BY reporting_date")
+def ratio_as_reported(t):
+    """What a submitted dataset said before its balances were restated."""
+    kind = F.when(F.col("l_returnflag") == "A", "SAVINGS").when(F.col("l_returnflag") == "R", "CURRENT").otherwise("TERM")
+    rows = t("lineitem").groupBy(F.year("l_shipdate").cast("long").alias("reporting_date"), kind.alias("deposit_type")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("balance"))
+    table = store.Table(rows.sparkSession, _folder(rows.sparkSession, "composition"))
+    submitted = table.create(rows, batch="B1")
+    table.overwrite(rows.withColumn("balance", F.when(F.col("deposit_type") == "TERM", F.col("balance") * 2).otherwise(F.col("balance"))), batch="B2")
+    return consumers.ratio_as_reported(table, submitted)
+
+
 @add("SELECT CAST(0 AS BIGINT) AS version, 'create' AS operation, 'B1' AS batch_id UNION ALL SELECT 1, 'overwrite', 'B2' UNION ALL SELECT 2, 'rollback', NULL")
 def table_history(t):
     table = _versions(t)

@@ -37,6 +37,7 @@ class Drill(RuntimeError):
 class Lakehouse:
     def __init__(self, spark: SparkSession, root: str, landing: str, customers: int = 60, seed: int = 7):
         self.spark, self.root, self.landing, self.customers, self.seed = spark, root.rstrip("/"), landing.rstrip("/"), customers, seed
+        self.steps = audit.TransformLog("", "")
 
     # tables and audit
     def table(self, layer: str, name: str) -> Table:
@@ -57,6 +58,12 @@ class Lakehouse:
         t.ensure(audit.LOAD_AUDIT)
         t.append(self.spark.createDataFrame([(batch, stage, entity, status, *rows, message, datetime.now(timezone.utc).replace(tzinfo=None))], audit.LOAD_AUDIT))
 
+    def _logged(self, log: audit.TransformLog) -> None:
+        t = self.table("ref", "transform_log")
+        t.ensure(audit.TRANSFORM_LOG)
+        if log.rows:
+            t.append(self.spark.createDataFrame(log.rows, audit.TRANSFORM_LOG), log.batch)
+
     def run(self, day: str, stages: tuple[str, ...] = STAGES, mode: str = "normal") -> None:
         for stage in stages:
             if stage == "land":
@@ -70,11 +77,14 @@ class Lakehouse:
     def _staged(self, day: str, stage: str, work: Callable[[], None]) -> None:
         batch = self.batch(day)
         self.log(batch, stage, "*", "STARTED")
+        self.steps = audit.TransformLog(batch, stage)
         try:
             work()
         except Exception as e:
             self.log(batch, stage, "*", "FAILED", message=audit.error_summary(e))
             raise
+        finally:
+            self._logged(self.steps)
         self.log(batch, stage, "*", "COMPLETED")
 
     @staticmethod
@@ -131,6 +141,8 @@ class Lakehouse:
                 continue
             counts = self._ingest(entity, day, fail=kind == "fail-during" and entity == target)
             self.log(batch, "bronze", entity, "COMMITTED", counts)
+            self.steps.add(entity, "ingest", c["files"], f"bronze.{entity}", counts[0], counts[1])
+            self.steps.add(entity, "validate", c["files"], "bronze.quarantine", counts[0], counts[2])
             if kind == "fail-after" and entity == target:
                 raise Drill(f"planted failure after {entity}")
 
@@ -184,6 +196,8 @@ class Lakehouse:
 
     def _state(self, name: str, rows: DataFrame, keys: list[str], day: str) -> None:
         batch = self.batch(day)
+        self.steps.add(name, "standardise", f"bronze.{name}", f"silver.{name}")
+        self.steps.add(name, "deduplicate", f"bronze.{name}", f"silver.{name}", details="newest row a key: " + ", ".join(keys))
         rows = rows.withColumns({"_src_batch_id": F.lit(batch), "_first_batch_id": F.lit(batch)})
         t = self.table("silver", name)
         if not t.exists:
@@ -299,6 +313,8 @@ class Lakehouse:
         xref = cut(xref.join(found.select("candidate_id", "src_system", "src_key", "pan_std", "is_active"), "candidate_id"))
         self._all("mdm", "party_candidate", found, batch)
         self._all("mdm", "match_pair", links, batch)
+        self.steps.add("match", "match", "mdm.party_candidate", "mdm.match_pair")
+        self.steps.add("golden", "survive", "mdm.party_xref", "mdm.golden_party")
         self._all("mdm", "party_xref", xref, batch)
         self._all("mdm", "document_party", self._documents_of_parties(day, xref), batch)
         golden = self.golden(found, xref)
@@ -324,6 +340,13 @@ class Lakehouse:
         rows = [(f"{s.upper()}:{k}", p["pid"]) for p in truth["persons"] for s in ("cbs", "lms", "crm") for k in p[s]]
         return self.spark.createDataFrame(rows, "node string, person long")
 
+    def _planted(self) -> DataFrame | None:
+        """rule_code, subject (an account, or a watchlist entry), complete_on of the patterns that the generator says it planted."""
+        truth = readers.read_manifest(self.spark, f"{self.landing}/_truth/persons.json")
+        if truth is None or not truth["aml"]:
+            return None
+        return self.spark.createDataFrame([(p["rule"], p["subject"], p["complete_on"]) for p in truth["aml"]], "rule_code string, subject string, complete_on string")
+
     @staticmethod
     def golden(found: DataFrame, xref: DataFrame) -> DataFrame:
         rows = found.where("is_active").join(xref.select("candidate_id", "party_id"), "candidate_id")
@@ -361,6 +384,7 @@ class Lakehouse:
     def _step(self, name: str, rows: DataFrame, keys: list[str], tracked: list[str], day: str, held: DataFrame | None = None) -> DataFrame:
         t, batch = self.table("gold", name), self.batch(day)
         history = self.read("gold", name)
+        self.steps.add(name, "historise", "silver", f"gold.{name}", details="tracked: " + ", ".join(tracked))
         out = cut(scd2.step(history, rows, keys, tracked, day, held))
         t.overwrite(out, batch) if t.exists else t.create(out, batch=batch)
         return t.read()
@@ -404,6 +428,8 @@ class Lakehouse:
         pay = self.slice("silver", "pay_transaction", day).where("account_key IS NOT NULL").join(account_now.drop("product_code"), "account_key", "left").withColumn("party_id", F.coalesce("party_id", F.lit("UNKNOWN"))).join(party_now, "party_id", "left")
         pay = pay.select(banking.date_key(d).alias("date_key"), d.alias("business_date"), "party_id", "party_sk", "msg_id", "account_key", "account_sk", "branch_code", "value_date", "channel", "direction", "status", F.col("amount_inr").alias("amount"), "fee_amount", "gst_amount", "counterparty_account", "is_on_us", F.col("_src_position").alias("src_position"))
         self._put(self.table("gold", "fact_payment"), pay, ["business_date"], day, batch)
+        for fact in ("fact_deposit_balance_daily", "fact_loan_position_daily", "fact_payment"):
+            self.steps.add(fact, "enrich", "silver", f"gold.{fact}")
         self._alerts(day, batch, account_now, parties)
 
     def _alerts(self, day: str, batch: str, account_now: DataFrame, parties: DataFrame) -> None:
@@ -431,8 +457,11 @@ class Lakehouse:
         def add(layer: str, check: DataFrame) -> None:
             checks.append(check.select(F.lit(batch).alias("batch_id"), F.lit(layer).alias("layer"), "check_name", "expected", "actual", "explained", "status"))
 
-        for source in SOURCES:
-            m = self.manifest(source, day)
+        manifests = {source: self.manifest(source, day) for source in SOURCES}
+        entities = [(e["entity"],) for m in manifests.values() if m for e in m["entities"] if e["entity"] in CONTRACTS]
+        runs = audit.latest_runs(self.audit().where((F.col("batch_id") == batch) & (F.col("stage") == "bronze"))).select("entity", "status")
+        add("bronze", reconcile.run_checks(runs, self.spark.createDataFrame(entities, "entity string")))
+        for source, m in manifests.items():
             for e in m["entities"] if m else []:
                 name = e["entity"]
                 good, bad = self.slice("bronze", name, day), quarantine.where(F.col("_entity") == name)
@@ -450,12 +479,22 @@ class Lakehouse:
             good, silver, keys = self.slice("bronze", name, day), self.slice("silver", name, day), CONTRACTS[name]["key"]
             left_out = good.dropDuplicates(keys).agg(F.count("*").alias("k")).crossJoin(good.agg(F.count("*").alias("n"))).select(F.col("k") - F.col("n"))  # single rows
             add("silver", reconcile.check(f"silver_records {name}", good.agg(F.count("*")), silver.agg(F.count("*")), left_out))
+            amount = {"cbs_eod_balance": "ledger_balance", "lms_loan": "principal_outstanding", "lms_repayment": "amount", "pay_transaction": "amount"}[name]
+            numbers = good.withColumn("_amount", typed(F.col(amount), "decimal"))
+            add("silver", reconcile.deduplicated_total(f"silver_total {name}", numbers, silver, keys, [F.col("_source_row")], "_amount", amount))
         for fact, name, amount, total in (("fact_deposit_balance_daily", "cbs_eod_balance", "balance_inr", "balance_inr"), ("fact_loan_position_daily", "lms_loan", "principal_outstanding", "principal_outstanding"), ("fact_payment", "pay_transaction", "amount_inr", "amount")):
             silver, gold = self.slice("silver", name, day), self.slice("gold", fact, day)
             lost = silver.where("account_key IS NULL") if name == "pay_transaction" else silver.where("false")
             add("gold", reconcile.check(f"gold_records {fact}", silver.agg(F.count("*")), gold.agg(F.count("*")), lost.agg(-F.count("*"))))
             add("gold", reconcile.check(f"gold_total {fact}", silver.agg(F.sum(amount)), gold.agg(F.sum(total)), lost.agg(-F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)))))
             add("gold", reconcile.check(f"dimension_link {fact}", one(0), gold.where("party_sk IS NULL").agg(F.count("*"))))
+        unknown = self.slice("gold", "fact_deposit_balance_daily", day).where("party_id = 'UNKNOWN'")
+        why = consumers.unresolved(self, day).where("why IS NOT NULL")
+        add("gold", reconcile.check("party_resolved fact_deposit_balance_daily", one(0), unknown.agg(F.count("*")), unknown.join(why.select("account_key"), "account_key", "left_semi").agg(F.count("*"))))
+        planted = self._planted()
+        if planted is not None:
+            alerts = self.read("gold", "fact_aml_alert").where(F.col("business_date") <= F.lit(day).cast("date")).withColumn("subject", F.when(F.col("subject_type") == "PARTY", F.col("evidence")).otherwise(F.col("subject_key")))
+            add("gold", reconcile.truth_checks(planted, F.col("complete_on") <= day, alerts, F.col("business_date") == F.lit(day).cast("date")))
         out = checks[0]
         for c in checks[1:]:
             out = out.unionByName(c)
@@ -473,6 +512,8 @@ class Lakehouse:
         casa = deposits.groupBy("business_date").agg(F.sum("balance_inr").cast("double").alias("deposits"), F.sum(F.when(F.col("is_casa"), F.col("balance_inr")).otherwise(0)).cast("double").alias("casa"))
         out = npa.join(casa, "business_date").withColumns({"gross_npa_ratio": F.round(F.col("gross_npa") / F.col("gross_advances"), 6), "casa_ratio": F.round(F.col("casa") / F.col("deposits"), 6)})
         self._all("semantic", "kpi_trend", out, batch)
+        self.steps.add("kpi_trend", "aggregate", "gold", "semantic.kpi_trend")
+        self.steps.add("regulatory", "consume", "gold", "semantic")
         consumers.load(self, day)
         t = self.table("ref", "recon_results")
         t.ensure(RECON)

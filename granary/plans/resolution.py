@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import mdm
@@ -78,11 +78,10 @@ _CHAIN_SQL = """SELECT node, min(node) OVER (PARTITION BY n, island) AS label FR
 @add(_CHAIN_SQL)
 def components_chain(t):
     nodes = t("customer").select(F.col("c_custkey").alias("node"), F.col("c_nationkey").alias("n"), F.col("c_acctbal").alias("b"))
-    # neighbours within 5 meet in the bucket of one of them
-    bucket = F.floor(F.col("b") / 5).cast("long")
-    a = nodes.select(F.col("node").alias("a"), "n", F.col("b").alias("ba"), bucket.alias("k"))
-    b = nodes.select(F.col("node").alias("b"), "n", F.col("b").alias("bb"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("k"))
-    edges = a.join(b, ["n", "k"]).where("a < b AND abs(ba - bb) <= 5").select("a", "b")
+    # in order of balance only the next one needs a link: whoever else is near is linked through it
+    following = Window.partitionBy("n").orderBy("b", "node")
+    linked = nodes.select("node", F.lead("node").over(following).alias("next"), (F.lead("b").over(following) - F.col("b")).alias("gap")).where("gap <= 5")
+    edges = linked.select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b"))
     return mdm.components(nodes.select("node"), edges)
 
 

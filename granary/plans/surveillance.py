@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aml, audit, governance, reconcile
-from ..operators.relational import duplicates
+from ..operators.relational import duplicates, latest
 from . import semantic
 from .registry import Registry
 
@@ -46,9 +46,11 @@ def aml_structuring(t):
 
 
 @add(f"""SELECT account_key, hits, CAST(credited AS DOUBLE) AS amount, CAST(sent AS DOUBLE) AS sent FROM (SELECT account_key, SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS hits, SUM(CASE WHEN event_type = 'purchase' THEN amount END) AS credited, SUM(CASE WHEN event_type = 'view' THEN amount END) AS sent
-    FROM ({_PAY_SQL}) p WHERE day = (SELECT MAX(CAST(ts AS DATE)) FROM events) GROUP BY account_key) x WHERE hits >= 2 AND credited >= 20 AND sent >= 0.9 * credited""")
+    FROM ({_PAY_SQL}) p WHERE event_type IN ('purchase', 'view') GROUP BY account_key) x WHERE hits >= 2 AND credited >= 20 AND sent >= 0.9 * credited""")
 def aml_pass_through(t):
-    return aml.pass_through(payments(t), _day(t), PASS_THROUGH).select("account_key", "hits", F.col("amount").cast("double").alias("amount"), F.col("sent").cast("double").alias("sent"))
+    """All of an account's events as one date's, so that some take and send enough."""
+    one_date = payments(t).withColumn("business_date", F.to_date(F.lit("2024-01-15")))
+    return aml.pass_through(one_date, "2024-01-15", PASS_THROUGH).select("account_key", "hits", F.col("amount").cast("double").alias("amount"), F.col("sent").cast("double").alias("sent"))
 
 
 @add("""SELECT c_custkey AS party_id, s_suppkey AS entry_id, CASE WHEN c_custkey % 50 = s_suppkey % 50 AND c_custkey % 3 = 0 THEN 'AML-WL-01' ELSE 'AML-WL-02' END AS rule_code FROM customer JOIN supplier ON s_suppkey % 4 <> 0
@@ -105,10 +107,47 @@ def _audit(t):
 
 @add("SELECT batch_id, stage, status FROM (SELECT *, row_number() OVER (PARTITION BY batch_id, stage ORDER BY ts DESC, event_id DESC) AS rn FROM (SELECT event_id, strftime(ts, '%Y%m%d') AS batch_id, CASE WHEN user_id % 2 = 0 THEN 'bronze' ELSE 'silver' END AS stage, CASE event_type WHEN 'click' THEN 'STARTED' WHEN 'error' THEN 'FAILED' ELSE 'COMPLETED' END AS status, ts FROM events) e) x WHERE rn = 1")
 def stage_gate(t):
-    from ..operators.relational import latest
+    """The state that the gate of the next stage looks at."""
+    return audit.stage_status(_audit(t).withColumn("status", F.when(F.col("status") == "COMMITTED", "COMPLETED").otherwise(F.col("status"))))
 
-    rows = _audit(t).withColumn("status", F.when(F.col("status") == "COMMITTED", "COMPLETED").otherwise(F.col("status")))
-    return latest(rows, ["batch_id", "stage"], [F.desc("at")]).select("batch_id", "stage", "status")
+
+_AUDIT_SQL = "SELECT strftime(ts, '%Y%m%d') AS batch_id, CASE WHEN user_id % 2 = 0 THEN 'bronze' ELSE 'silver' END AS stage, CAST(user_id AS VARCHAR) AS entity, CASE event_type WHEN 'click' THEN 'STARTED' WHEN 'error' THEN 'FAILED' ELSE 'COMMITTED' END AS status, ts FROM events"
+_RUNS_SQL = f"""SELECT batch_id, stage, entity, arg_max(status, ts) AS status FROM ({_AUDIT_SQL}) e
+    WHERE status <> 'STARTED' AND ts >= (SELECT max(s.ts) FROM ({_AUDIT_SQL}) s WHERE s.batch_id = e.batch_id AND s.stage = e.stage AND s.status = 'STARTED') GROUP BY ALL"""
+
+
+@add(_RUNS_SQL)
+def latest_run(t):
+    return audit.latest_runs(_audit(t))
+
+
+@add(f"""WITH last AS (SELECT max(strftime(ts, '%Y%m%d')) AS b FROM events), runs AS (SELECT entity, status FROM ({_RUNS_SQL}) r WHERE batch_id = (SELECT b FROM last) AND stage = 'bronze'),
+    wanted AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity FROM events WHERE user_id % 2 = 0), ok AS (SELECT 'load_status ' || wanted.entity AS check_name, CASE WHEN runs.status = 'COMMITTED' THEN 1.0 ELSE 0.0 END AS actual FROM wanted LEFT JOIN runs ON runs.entity = wanted.entity)
+    SELECT check_name, CAST(1 AS DOUBLE) AS expected, CAST(actual AS DOUBLE) AS actual, CASE actual WHEN 1 THEN 'MATCHED' ELSE 'MISMATCH' END AS status FROM (SELECT * FROM ok UNION ALL SELECT 'batch_status', 0.0) x""")
+def recon_load_status(t):
+    """Every user as an entity that the last date's bronze run should have loaded; the run itself has no end."""
+    last = t("events").agg(F.max(F.date_format("ts", "yyyyMMdd"))).first()[0]
+    runs = audit.latest_runs(_audit(t)).where((F.col("batch_id") == last) & (F.col("stage") == "bronze")).select("entity", "status")
+    wanted = t("events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("entity")).distinct()
+    return reconcile.run_checks(runs, wanted).select("check_name", "expected", "actual", "status")
+
+
+@add("""WITH l AS (SELECT l_orderkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS c, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) = 1 AS first FROM lineitem)
+    SELECT 'first lines' AS check_name, sum(c) / 100.0 AS expected, (sum(c) FILTER (first)) / 100.0 AS actual, -(sum(c) FILTER (NOT first)) / 100.0 AS explained, 'EXPLAINED' AS status FROM l""")
+def recon_silver_total(t):
+    """Only an order's first line stays; what the others had explains the difference."""
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    return reconcile.deduplicated_total("first lines", rows, latest(rows, ["l_orderkey"], [F.col("l_linenumber"), F.col("amount")]), ["l_orderkey"], [F.col("l_linenumber"), F.col("amount")], "amount")
+
+
+@add(f"""WITH alerts AS (SELECT account_key FROM ({_STR_SQL}) a), planted AS (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
+    SELECT 'truth_planted' AS check_name, CAST((SELECT count(*) FROM planted) AS DOUBLE) AS expected, CAST((SELECT count(*) FROM planted WHERE user_id IN (SELECT account_key FROM alerts)) AS DOUBLE) AS actual
+    UNION ALL SELECT 'truth_unexpected', 0.0, CAST((SELECT count(*) FROM alerts WHERE account_key % 3 <> 0) AS DOUBLE)""")
+def recon_truth(t):
+    """As if every third user's structuring had been planted."""
+    alerts = aml.structuring(payments(t), _day(t), STRUCTURING).select("rule_code", F.col("account_key").alias("subject"))
+    planted = t("events").where("user_id % 3 = 0").select(F.lit(STRUCTURING["rule_code"]).alias("rule_code"), F.col("user_id").alias("subject")).distinct()
+    return reconcile.truth_checks(planted, F.lit(True), alerts, F.lit(True)).select("check_name", "expected", "actual")
 
 
 @add(r"""SELECT c_custkey, regexp_replace(regexp_replace(substr(c_name, 1, length(c_name) - 4), '[A-Za-z]', 'x', 'g'), '[0-9]', 'n', 'g') || substr(c_name, length(c_name) - 3) AS last_4, sha256(c_name) AS hashed, regexp_replace(regexp_replace(c_name, '[A-Za-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS redacted, NULL::VARCHAR AS nothing FROM customer""")

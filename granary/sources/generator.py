@@ -48,6 +48,12 @@ class Bank:
         self.customers[1][4] = None  # no last name
         self.customers[2][5] = "1985-02-30"
         self.truth["faults"][DATES[0]] = {"cbs_customer": 2}
+        # cash just under the threshold on three dates, a day's credits sent on, a listed customer
+        self.truth["aml"] = [
+            {"rule": "AML-STR-01", "subject": f"ACC:CBS:{self.accounts[0][0]}", "complete_on": DATES[3]},
+            {"rule": "AML-PTH-01", "subject": f"ACC:CBS:{self.accounts[1][0]}", "complete_on": DATES[4]},
+            {"rule": "AML-WL-01", "subject": "WL000001", "complete_on": DATES[0]},
+        ]
         self.balances = {a[0]: Decimal(r.randrange(1_000, 200_000)) for a in self.accounts}
 
     def _cdc(self, op: str, at: int, pos: int, before: dict | None, after: dict | None) -> dict:

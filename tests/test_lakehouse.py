@@ -71,6 +71,38 @@ def test_reconciliation(house):
     assert r.where("status = 'EXPLAINED'").count() > 0
 
 
+def test_runs_totals_and_truth(house):
+    r = {(x.batch_id, x.check_name): x for x in house.read("ref", "recon_results").collect()}
+    second = house.batch(DATES[1])
+    assert r[second, "batch_status"].status == r[second, "load_status pay_transaction"].status == "MATCHED"
+    assert r[second, "silver_total pay_transaction"].status == "EXPLAINED"  # a message stands twice
+    assert r[second, "truth_planted"].expected == 1 and r[second, "truth_unexpected"].actual == 0
+    assert r[second, "party_resolved fact_deposit_balance_daily"].status in ("MATCHED", "EXPLAINED")
+
+
+def test_transform_log(house):
+    log = house.read("ref", "transform_log")
+    kinds = {x.transform_type for x in log.select("transform_type").distinct().collect()}
+    assert kinds <= set(audit.TRANSFORM_TYPES) and {"ingest", "validate", "standardise", "deduplicate", "match", "survive", "historise", "enrich", "aggregate", "consume"} <= kinds
+    # what the failed attempt did before it failed is there too
+    assert log.where(f"stage = 'bronze' AND batch_id = '{house.batch(DATES[1])}' AND transform_type = 'ingest'").groupBy("step").count().where("count > 1").count() == 0
+    with pytest.raises(ValueError):
+        audit.TransformLog("b", "s").add("x", "nonsense", "", "")
+
+
+def test_snapshots_and_versions(house):
+    steps = consumers.batch_snapshots(house.table("mdm", "golden_party")).orderBy("snapshot_after").collect()
+    assert [s.batch_id for s in steps] == [house.batch(d) for d in DATES[:2]] and steps[1].snapshot_before == steps[0].snapshot_after
+    t = house.table("semantic", "reg_deposit_composition")
+    said = {x.reporting_date: x.casa_ratio for x in consumers.ratio_as_reported(t, t.versions()[-1]).collect()}
+    trend = {x.business_date: x.casa_ratio for x in house.read("semantic", "kpi_trend").collect()}
+    assert said.keys() == trend.keys() and all(abs(said[d] - trend[d]) < 1e-6 for d in said)
+    versions = consumers.versions_of(house.read("gold", "dim_party"), ["party_id"], party_id="UNKNOWN").collect()
+    assert [v.version for v in versions] == list(range(1, len(versions) + 1))
+    q = consumers.dash_match_quality(house)
+    assert q.count() == 2 and q.where("is_latest = 1").count() == 1
+
+
 def test_time_travel(house):
     t = house.table("gold", "dim_party")
     assert t.read(batch=Lakehouse.batch(DATES[0])).count() <= t.read().count()
