@@ -10,13 +10,19 @@ from .relational import latest
 
 
 def images(events: DataFrame, target: dict, payload: str = "payload") -> DataFrame:
-    """Typed rows of one table's events: the image before for d, after for c and u; source time and position as columns."""
-    at = lambda path: F.get_json_object(payload, f"$.{path}")
+    """Typed rows of one table's events: the image before for d, after for c and u; source time and position as columns.
+
+    A payload is parsed once, whatever the table's columns.
+    """
+    image = "struct<" + ",".join(f"`{c['name']}`:string" for c in target["columns"]) + ">"
+    parsed = events.withColumn("_event", F.from_json(payload, f"op string, ts_ms string, source struct<table:string,file:string,pos:string>, before {image}, after {image}"))
+    at = lambda path: F.col(f"_event.{path}")
     op = at("op")
-    rows = events.where(at("source.table") == target["table"])
-    values = {c["name"]: typed(F.when(op == "d", at(f"before.{c['name']}")).otherwise(at(f"after.{c['name']}")), c.get("type", "string"), c.get("formats")) for c in target["columns"]}
-    return rows.withColumns(values).withColumns(
-        {
+    rows = parsed.where(at("source.table") == target["table"])
+    values = {c["name"]: typed(F.when(op == "d", at(f"before.`{c['name']}`")).otherwise(at(f"after.`{c['name']}`")), c.get("type", "string"), c.get("formats")) for c in target["columns"]}
+    return rows.withColumns(
+        values
+        | {
             "_src_op": op,
             "_ts_ms": at("ts_ms").try_cast("bigint"),
             "_src_ts": F.timestamp_millis(at("ts_ms").try_cast("bigint")),
@@ -24,7 +30,7 @@ def images(events: DataFrame, target: dict, payload: str = "payload") -> DataFra
             "_src_position": F.concat_ws(":", at("source.file"), at("source.pos")),
             "_is_deleted": op == "d",
         }
-    )
+    ).drop("_event")
 
 
 def resent(changes: DataFrame, row: str = "_source_row") -> tuple[DataFrame, DataFrame]:

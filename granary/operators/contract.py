@@ -7,9 +7,10 @@ min, severity ("reject" or "warn") and path (into a JSON payload).
 from __future__ import annotations
 
 import json
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.typing import blank_to_null, to_date, to_instant, to_whole, typed
@@ -58,10 +59,14 @@ def validate(df: DataFrame, contract: dict, more_rejects: list[Column] | None =
         rejects += r
         warns += w
     if contract.get("key"):
-        many = F.count(F.lit(1)).over(Window.partitionBy(*contract["key"])) > 1
-        warns.append(F.when(many, F.lit("DUPLICATE_IN_BATCH")))
+        # only keys are counted and shuffled; the few that are there more than once meet the whole rows
+        keys = contract["key"]
+        repeated = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).count().where("count > 1").drop("count").withColumn("_many", F.lit(True))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+        df = df.join(repeated, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+        warns.append(F.when(F.col("_many"), F.lit("DUPLICATE_IN_BATCH")))
     names = [c["name"] for c in contract["columns"]]
-    return df.withColumns({"_reject_reasons": _compact(rejects), "_warnings": _compact(warns), "_record_hash": record_hash([F.col(n) for n in names])})
+    return df.withColumns({"_reject_reasons": _compact(rejects), "_warnings": _compact(warns), "_record_hash": record_hash([F.col(n) for n in names])}).drop("_many")
 
 
 def image_checks(contract: dict, payload: Column, op: Column, table: Column, target: dict) -> list[Column]:

@@ -164,24 +164,36 @@ class Table:
         schema = self._schema(entry)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{x['folder']}" for x in live]) if live else self.spark.createDataFrame([], schema)
 
-    def read(self, version: int | None = None, timestamp: float | None = None, batch: str | None = None, partitions: dict | None = None) -> DataFrame | None:
+    def _found(self, version: int | None, timestamp: float | None, batch: str | None) -> dict | None:
+        """The newest entry that is wanted; no more of the log is read than it takes to find it."""
+        for v in reversed(self.versions()):
+            if version is not None and v != version:
+                continue
+            entry = self._entry(v)
+            if (timestamp is None or entry["committed_at"] <= timestamp) and (batch is None or (entry["batch_id"] is not None and entry["batch_id"] <= batch)):
+                return entry
+        return None
+
+    def partition_values(self, column: str) -> list[str]:
+        """The values of a partition column that have rows now, in order, from the log alone."""
+        now = self._current()
+        return sorted({x["values"][column] for x in now["live"] if x["values"] and x["values"].get(column) is not None}) if now else []
+
+    def read(self, version: int | None = None, timestamp: float | None = None, batch: str | None = None, partitions: dict | None = None, between: tuple[str, str, str] | None = None) -> DataFrame | None:
         """The table now, at a version, at a time, or at the newest version of a batch up to ``batch``; None if there is none.
 
-        ``partitions`` prunes in the log, before Spark plans.
+        ``partitions`` (values) and ``between`` (a column, its first and last value as text) prune in the log, before Spark plans.
         """
-        found = [self._entry(v) for v in self.versions()]
-        if version is not None:
-            found = [e for e in found if e["version"] == version]
-        if timestamp is not None:
-            found = [e for e in found if e["committed_at"] <= timestamp]
-        if batch is not None:
-            found = [e for e in found if e["batch_id"] is not None and e["batch_id"] <= batch]
-        if not found:
+        found = self._found(version, timestamp, batch)
+        if found is None:
             return None
-        live = found[-1]["live"]
+        live = found["live"]
         if partitions:
             live = [x for x in live if all((x["values"] or {}).get(k) == str(v) for k, v in partitions.items())]
-        return self._read(found[-1], live)
+        if between:
+            column, low, high = between
+            live = [x for x in live if low <= ((x["values"] or {}).get(column) or "") <= high]
+        return self._read(found, live)
 
     def history(self) -> DataFrame:
         rows = [(e["version"], e["parent"], e["committed_at"], e["operation"], e["batch_id"], len(e["live"])) for e in map(self._entry, self.versions())]

@@ -161,8 +161,7 @@ class Lakehouse:
             quarantine = bad.select(F.lit(entity).alias("_entity"), "_business_date", F.concat_ws(":", "_source_file", "_source_row").alias("_position"), "_record", "_reject_reasons")
             q = self.table("bronze", "quarantine")
             q.ensure("_entity string, _business_date date, _position string, _record string, _reject_reasons array<string>", ["_business_date", "_entity"])
-            q.delete(f"_entity = '{entity}' AND _business_date = DATE '{day}'", batch)
-            q.append(quarantine, batch)
+            q.replace_partitions({"_business_date": day, "_entity": entity}, quarantine, batch)
             if c["format"] in ("jsonl", "json_array"):
                 drift = contract.json_key_drift(checked, contract.known_keys(c)).select(F.lit(batch), F.lit(entity), "_source_file", "field", "drift").toDF(*[x.split()[0] for x in DRIFT.split(", ")])
                 log = self.table("ref", "schema_drift")
@@ -254,9 +253,10 @@ class Lakehouse:
                 self._put(self.table("silver", entity), build(latest(df, keys, [F.col("_source_row")])).withColumn("business_date", d), ["business_date"], day, batch)
         log = self.table("silver", "cdc_exception")
         log.ensure("business_date date, position string, exception string, action string", ["business_date"])
-        log.delete(f"business_date = DATE '{day}'", batch)
+        rows = log.read().where("false")
         for x in exceptions:
-            log.append(x.select(d.alias("business_date"), F.col("_src_position").alias("position"), "exception", "action"), batch)
+            rows = rows.unionByName(x.select(d.alias("business_date"), F.col("_src_position").alias("position"), "exception", "action"))
+        log.replace_partitions({"business_date": day}, rows, batch)
 
     def _extract(self, entity: str, keys: list[str], day: str, build: Callable[[DataFrame], DataFrame]) -> None:
         """A full extract: newest row a key, merged; keys that vanish stay."""
@@ -434,7 +434,9 @@ class Lakehouse:
 
     def _alerts(self, day: str, batch: str, account_now: DataFrame, parties: DataFrame) -> None:
         d = F.lit(day).cast("date")
-        payments = self.read("gold", "fact_payment").withColumn("channel", F.when(F.col("channel") == "CASH_DEPOSIT", "CASH").otherwise(F.col("channel")))
+        facts = self.table("gold", "fact_payment")
+        dates = [x for x in facts.partition_values("business_date") if x <= day][-aml.STRUCTURING["days"] :] or [day]
+        payments = facts.read(between=("business_date", dates[0], day)).withColumn("channel", F.when(F.col("channel") == "CASH_DEPOSIT", "CASH").otherwise(F.col("channel")))
         accounts = aml.structuring(payments, day).select("rule_code", F.col("account_key").alias("subject"), F.col("amount").cast("decimal(18,2)").alias("amount"), "evidence").unionByName(aml.pass_through(payments, day).select("rule_code", F.col("account_key").alias("subject"), F.col("amount").cast("decimal(18,2)").alias("amount"), "evidence"))
         accounts = accounts.join(account_now.select(F.col("account_key").alias("subject"), "party_id"), "subject", "left").withColumn("subject_type", F.lit("ACCOUNT"))
         people = as_of(parties, day).select("party_id", F.col("pan").alias("pan_std"), standard.name_key(F.col("full_name")).alias("name_key"), F.col("dob").cast("date").alias("dob"))
@@ -499,9 +501,8 @@ class Lakehouse:
         for c in checks[1:]:
             out = out.unionByName(c)
         t = self.table("ref", "recon_results")
-        t.ensure(RECON)
-        t.delete(f"batch_id = '{batch}' AND layer <> 'semantic'", batch)
-        t.append(out, batch)
+        t.ensure(RECON, ["batch_id", "layer"])
+        t.replace_partitions({"batch_id": batch, "layer": "gold"}, out, batch)
 
     # semantic layer
     def semantic(self, day: str) -> None:
@@ -516,9 +517,8 @@ class Lakehouse:
         self.steps.add("regulatory", "consume", "gold", "semantic")
         consumers.load(self, day)
         t = self.table("ref", "recon_results")
-        t.ensure(RECON)
-        t.delete(f"batch_id = '{batch}' AND layer = 'semantic'", batch)
-        t.append(consumers.kpi_checks(self, day).select(F.lit(batch).alias("batch_id"), F.lit("semantic").alias("layer"), "check_name", "expected", "actual", "explained", "status"), batch)
+        t.ensure(RECON, ["batch_id", "layer"])
+        t.replace_partitions({"batch_id": batch, "layer": "semantic"}, consumers.kpi_checks(self, day).select(F.lit(batch).alias("batch_id"), F.lit("semantic").alias("layer"), "check_name", "expected", "actual", "explained", "status"), batch)
 
 
 def live_match(records: list[dict], spark: SparkSession) -> DataFrame:

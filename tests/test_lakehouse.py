@@ -112,7 +112,7 @@ def test_time_travel(house):
 
 def test_consumers(house):
     checks = house.read("ref", "recon_results").where("layer = 'semantic'")
-    assert checks.count() == 12 and checks.where("status <> 'MATCHED'").count() == 0
+    assert checks.count() == 46 and checks.where("status <> 'MATCHED'").count() == 0
     for view in (consumers.dash_recon, consumers.dash_load_audit, consumers.dash_match_pair, consumers.dash_party_xref, consumers.dash_golden_party, consumers.dash_aml_alert):
         assert view(house).count() > 0
     why = rows(consumers.unresolved(house, DATES[0]), "why")
