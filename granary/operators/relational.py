@@ -26,6 +26,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_side(df: DataFrame, limit: int = 500_000) -> DataFrame:
+    """df marked for broadcast if it has few rows, else as it is; df should be stored, as its rows are counted."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in order. The order must be total; Spark keeps one row a key before the shuffle."""
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

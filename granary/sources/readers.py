@@ -9,9 +9,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.relational import cut, small_side
 from ..ship import ship
 
 #: Kinds of documents by file ending.
@@ -19,13 +21,38 @@ MIME = {"eml": "message/rfc822", "txt": "text/plain", "png": "image/png", "pdf":
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row a whole file; for formats whose rows span lines or that carry a trailer."""
+    """One row a whole file; for formats that have no lines."""
     df = spark.read.text(paths, wholetext=True)
     return df.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("_source_file"), F.col("value").alias("_text"))
 
 
-def _lines(files: DataFrame) -> DataFrame:
-    return files.select("_source_file", F.posexplode(F.split("_text", "\r?\n")).alias("_n", "line")).withColumn("_source_row", F.col("_n") + 1).drop("_n")
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Rows (_path, _source_file, _source_row, line, _header) of text files: physical lines from 1, and their file's first line.
+
+    Files are split wherever Spark splits them. A line's number is its place in its split and the lines of the splits before, so
+    one file of any size is read by many tasks. Lines of splits are counted first; a split that wasn't is an error.
+    """
+    at = {"_path": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start"), "line": F.regexp_replace("value", "\r$", "")}
+    read = spark.read.option("lineSep", "\n").text(paths)
+    read = read.select(*[c.alias(name) for name, c in at.items()])
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, seen = None, 0
+        for batch in batches:
+            files, starts = batch.column("_path").to_pylist(), batch.column("_split").to_pylist()
+            places = []
+            for here in zip(files, starts, strict=True):
+                split, seen = here, (seen + 1 if here == split else 1)
+                places.append(seen)
+            yield batch.append_column("_place", pa.array(places, pa.int64()))
+
+    ship(spark)
+    splits = read.withColumn("_id", F.monotonically_increasing_id()).groupBy("_path", "_split").agg(F.count("*").alias("_lines"), F.min_by("line", F.when(F.col("_split") == 0, F.col("_id"))).alias("_first"))
+    before = Window.partitionBy("_path").orderBy("_split")
+    splits = small_side(cut(splits.select("_path", "_split", (F.sum("_lines").over(before) - F.col("_lines")).alias("_before"), F.first("_first").over(before).alias("_header"))))
+    lost = F.raise_error(F.concat(F.lit("files were split anew while they were read: "), "_path")).cast("long")
+    rows = read.mapInArrow(numbered, "_path string, _split long, line string, _place long").join(splits, ["_path", "_split"], "left")
+    return rows.select("_path", F.element_at(F.split("_path", "/"), -1).alias("_source_file"), (F.coalesce("_before", lost) + F.col("_place")).cast("int").alias("_source_row"), "line", "_header")
 
 
 def dump_columns(text: str, table: str) -> list[str]:
@@ -65,40 +92,43 @@ def tuples(values: str) -> Iterator[list[str | None]]:
 
 
 def read_dump(spark: SparkSession, paths: str | list[str], table: str, columns: list[str]) -> DataFrame:
-    """Rows of one table's INSERTs; a column that the dump lacks is NULL.  Tokenising isn't expressible in SQL: Arrow batches of files."""
+    """Rows of one table's INSERTs, numbered over their file; a column that the dump lacks is NULL.
+
+    Every INSERT is a line, and lines are dealt to tasks; tokenising isn't expressible in SQL: Arrow batches of lines.
+    """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, list[str]] = {}
         for batch in batches:
-            out = []
-            for file, text in zip(batch["_source_file"], batch["_text"], strict=True):
-                there = dump_columns(text, table)
-                number = 0
-                for line in text.split("\n"):
-                    if line.startswith(f"INSERT INTO `{table}`") and " VALUES " in line:
-                        for values in tuples(line.split(" VALUES ", 1)[1]):
-                            number += 1
-                            row = dict(zip(there, values, strict=False))
-                            out.append((file, number, *[row.get(c) for c in columns]))
-            yield pd.DataFrame(out, columns=["_source_file", "_source_row", *columns])
-
-    ship(spark)
-    schema = ", ".join(["_source_file string, _source_row int", *[f"`{c}` string" for c in columns]])
-    return _files(spark, paths).mapInPandas(parse, schema)
+            for path, file, at, line, ddl in zip(batch["_path"], batch["_source_file"], batch["_source_row"], batch["line"], batch["_ddl"], strict=True):
+                there = known.setdefault(ddl, dump_columns(ddl, table))
+                rows = (dict(zip(there, values, strict=False)) for values in tuples(line.split(" VALUES ", 1)[1]))
+                out = [(path, file, at, n, *[row.get(c) for c in columns]) for n, row in enumerate(rows, 1)]
+                yield pd.DataFrame(out, columns=["_path", "_source_file", "_line", "_place", *columns])
+
+    lines = _lines(spark, paths).drop("_header")
+    definitions = lines.where(r"line RLIKE '^(CREATE TABLE |[)]|\\s*`)'").groupBy("_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_source_row", "line"))), lambda x: x["line"]), "\n").alias("_ddl"))
+    inserts = lines.where(F.col("line").startswith(f"INSERT INTO `{table}`") & F.col("line").contains(" VALUES "))
+    inserts = inserts.join(small_side(cut(definitions)), "_path", "left").withColumn("_ddl", F.coalesce("_ddl", F.lit("")))  # a row a file
+    schema = ", ".join(["_path string, _source_file string, _line int, _place int", *[f"`{c}` string" for c in columns]])
+    rows = cut(inserts.mapInPandas(parse, schema))  # tokenised once
+    counts = rows.groupBy("_path", "_line").agg(F.max("_place").alias("_rows"))
+    before = counts.select("_path", "_line", (F.sum("_rows").over(Window.partitionBy("_path").orderBy("_line")) - F.col("_rows")).alias("_before"))
+    return rows.join(small_side(cut(before)), ["_path", "_line"]).select("_source_file", (F.col("_before") + F.col("_place")).cast("int").alias("_source_row"), *columns)
 
 
 def read_psv(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
     """Rows of pipe-delimited files by their header's names; blank lines and the trailer go, empty values are NULL, and
     _source_row is the physical line."""
-    lines = _lines(_files(spark, paths))
-    header = lines.where("_source_row = 1").select("_source_file", F.split("line", r"\|", -1).alias("_header"))
-    data = lines.where(r"_source_row > 1 AND trim(line) <> '' AND line NOT LIKE 'T|%'").join(header, "_source_file").withColumn("_v", F.split("line", r"\|", -1))
-    value = lambda c: F.nullif(F.get("_v", F.array_position("_header", c).cast("int") - 1), F.lit(""))
-    return data.select("_source_file", "_source_row", *[F.when(F.array_contains("_header", c), value(c)).alias(c) for c in columns])
+    data = _lines(spark, paths).where(r"_source_row > 1 AND trim(line) <> '' AND line NOT LIKE 'T|%'")
+    data = data.withColumns({"_names": F.split("_header", r"\|", -1), "_v": F.split("line", r"\|", -1)})
+    value = lambda c: F.nullif(F.get("_v", F.array_position("_names", c).cast("int") - 1), F.lit(""))
+    return data.select("_source_file", "_source_row", *[F.when(F.array_contains("_names", c), value(c)).alias(c) for c in columns])
 
 
 def psv_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Per file: header, data lines, and the trailer's record count (NULL unless digits) and control total."""
-    lines = _lines(_files(spark, paths)).where("trim(line) <> ''")
+    lines = _lines(spark, paths).where("trim(line) <> ''")
     trailer = F.split(F.max(F.when(F.col("line").startswith("T|"), F.col("line"))), r"\|", -1)
     return lines.groupBy("_source_file").agg(
         F.max(F.when(F.col("_source_row") == 1, F.col("line"))).alias("header"),
@@ -110,7 +140,7 @@ def psv_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """payload and _parse_error by line; blank lines go but keep their number."""
-    lines = _lines(_files(spark, paths)).where("trim(line) <> ''")
+    lines = _lines(spark, paths).where("trim(line) <> ''")
     return lines.select("_source_file", "_source_row", F.col("line").alias("payload"), F.when(F.expr("try_parse_json(line) IS NULL"), "MALFORMED_JSON").alias("_parse_error"))
 
 

@@ -172,6 +172,25 @@ def test_small_functions(spark):
     assert audit.error_summary(ValueError("a\nCaused by: java.lang.IllegalStateException: inner\n\tat x")) == "Caused by: java.lang.IllegalStateException: inner"
 
 
+def test_lines_keep_their_numbers_over_splits(spark, tmp_path):
+    rows = [(i, f"it's {i}, (so)" if i % 3 else None) for i in range(3000)]
+    one = f"file://{tmp_path}"
+    for name, part in (("x", rows), ("y", rows[:7])):
+        (tmp_path / f"{name}.csv").write_bytes(b"id|note\r\n" + b"".join(b"\r\n" * (i == 5) + f"{i}|{v or ''}\r\n".encode() for i, v in part) + f"T|{len(part)}|".encode())
+        writers.write_dump(tmp_path / f"{name}.sql", {"u": (["z"], [(1,)]), "t": (["id", "note"], part)}, most=10)
+    bound = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        csv, sql = readers.read_psv(spark, f"{one}/*.csv", ["id", "note"]), readers.read_dump(spark, f"{one}/*.sql", "t", ["note", "id"])
+        assert csv.select(F.spark_partition_id()).distinct().count() > 8
+        for file, part in (("x", rows), ("y", rows[:7])):
+            assert [tuple(r) for r in csv.where(F.col("_source_file") == f"{file}.csv").orderBy("_source_row").collect()] == [(f"{file}.csv", i + 2 + (i >= 5), str(i), v) for i, v in part]
+            assert [tuple(r) for r in sql.where(F.col("_source_file") == f"{file}.sql").orderBy("_source_row").collect()] == [(f"{file}.sql", i + 1, v, str(i)) for i, v in part]
+        assert {tuple(r) for r in readers.psv_stats(spark, f"{one}/*.csv").select("_source_file", "header", "data_lines", "trailer_count").collect()} == {("x.csv", "id|note", 3000, 3000), ("y.csv", "id|note", 7, 7)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bound)
+
+
 def test_dump_values_keep_their_places():
     from granary.sources.readers import tuples
 
