@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"file://{tempfile.gettempdir()}/{name}"
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_folder(spark, 'granary-work').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df without its lineage: checkpointed in the cluster's shared folder."""
     spark = df.sparkSession

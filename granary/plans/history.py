@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import relational, scd2, store
@@ -105,15 +104,11 @@ _BEFORE = "SELECT c_custkey, c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM
 _AFTER = "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM customer WHERE c_custkey % 10 <> 8"
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{relational.shared_folder(spark, 'granary-work').rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _versions(t) -> store.Table:
     """A stored table of two versions: some rows change, go and come."""
     rows = t("customer").select("c_custkey", "c_mktsegment", F.round("c_acctbal", 2).alias("c_acctbal"))
     spark = rows.sparkSession
-    table = store.Table(spark, _folder(spark, "customers"))
+    table = store.Table(spark, relational.work_folder(spark, "customers"))
     table.create(rows.where("c_custkey % 10 <> 9"), batch="B1")
     table.overwrite(rows.where("c_custkey % 10 <> 8").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 7 == 0, "MOVED").otherwise(F.col("c_mktsegment"))), batch="B2")
     return table
@@ -160,7 +155,7 @@ def ratio_as_reported(t):
     """What a submitted dataset said before its balances were restated."""
     kind = F.when(F.col("l_returnflag") == "A", "SAVINGS").when(F.col("l_returnflag") == "R", "CURRENT").otherwise("TERM")
     rows = t("lineitem").groupBy(F.year("l_shipdate").cast("long").alias("reporting_date"), kind.alias("deposit_type")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("balance"))
-    table = store.Table(rows.sparkSession, _folder(rows.sparkSession, "composition"))
+    table = store.Table(rows.sparkSession, relational.work_folder(rows.sparkSession, "composition"))
     submitted = table.create(rows, batch="B1")
     table.overwrite(rows.withColumn("balance", F.when(F.col("deposit_type") == "TERM", F.col("balance") * 2).otherwise(F.col("balance"))), batch="B2")
     return consumers.ratio_as_reported(table, submitted)

@@ -6,7 +6,9 @@ import hashlib
 import json
 import struct
 import zlib
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
+from itertools import islice
 from pathlib import Path
 
 
@@ -18,12 +20,30 @@ def _literal(v: object) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t").replace("\0", "\\0") + "'"
 
 
+def _definition(table: str, columns: list[str]) -> str:
+    return f"CREATE TABLE `{table}` (\n" + ",\n".join(f"  `{c}` text" for c in columns) + "\n);"
+
+
+def _inserts(table: str, rows: Iterable[tuple], most: int) -> Iterator[str]:
+    rows = iter(rows)
+    while part := list(islice(rows, most)):
+        yield f"INSERT INTO `{table}` VALUES " + ",".join(f"({','.join(map(_literal, r))})" for r in part) + ";"
+
+
+def dump_lines(before: dict[str, tuple[list[str], list[tuple]]], table: str, columns: list[str], rows: Iterable[tuple], most: int = 100) -> Iterator[str]:
+    """The lines of a dump of one large table after some small ones; rows are taken as they come."""
+    yield "-- dump"
+    for name, (named, values) in before.items():
+        yield from _definition(name, named).split("\n")
+        yield from _inserts(name, values, most)
+    yield from _definition(table, columns).split("\n")
+    yield from _inserts(table, rows, most)
+
+
 def write_dump(path: Path, tables: dict[str, tuple[list[str], list[tuple]]], most: int = 100) -> None:
     out = ["-- dump"]
     for table, (columns, rows) in tables.items():
-        out.append(f"CREATE TABLE `{table}` (\n" + ",\n".join(f"  `{c}` text" for c in columns) + "\n);")
-        for i in range(0, len(rows), most):
-            out.append(f"INSERT INTO `{table}` VALUES " + ",".join(f"({','.join(map(_literal, r))})" for r in rows[i : i + most]) + ";")
+        out += [_definition(table, columns), *_inserts(table, rows, most)]
     path.write_text("\n".join(out) + "\n")
 
 
