@@ -136,3 +136,70 @@ def asset_class_bands(t):
     FROM (SELECT unnest(generate_series(TIMESTAMP '2015-01-01', TIMESTAMP '2027-12-31', INTERVAL 1 DAY)) AS d) x""")
 def calendar_dim(t):
     return banking.calendar(t("region").sparkSession, "2015-01-01", "2027-12-31")
+
+
+@add("SELECT event_id, strftime(date_trunc('second', ts) - INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS instant FROM events WHERE event_id % 10 <> 0 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 10 = 0")
+def source_instants(t):
+    """Wall clocks of the source's zone as instants; what isn't a time is NULL."""
+    text = F.when(F.col("event_id") % 10 == 0, "2024-13-45 10:00:00").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return t("events").select("event_id", F.date_format(typing.source_instant(text), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
+@add("""SELECT c_custkey, 'CUSTOMER ' || c_mktsegment AS name_std, array_to_string(list_sort(['CUSTOMER', c_mktsegment]), ' ') AS name_key, '+919' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS mobile_e164,
+    CASE WHEN c_custkey % 3 = 0 THEN 'ABCDE' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || 'Z' END AS pan_std, CASE WHEN c_custkey % 4 <> 0 THEN 'c' || CAST(c_custkey AS VARCHAR) || '@mail.example.com' END AS email_std,
+    CAST(c_nationkey AS VARCHAR) || ' MG ROAD ' || CAST(400000 + c_nationkey AS VARCHAR) AS address_std, CAST(400000 + c_nationkey AS VARCHAR) AS pincode_std FROM customer""")
+def person_std(t):
+    """All standard forms of a person's record at once."""
+    key, place = F.col("c_custkey").cast("string"), F.col("c_nationkey")
+    rows = t("customer").select(
+        "c_custkey",
+        F.concat(F.lit("Mr. Customer "), F.lower("c_mktsegment")).alias("full_name"),
+        F.concat(F.lit("0"), F.lit("9"), F.lpad(key, 9, "0")).alias("mobile"),
+        F.concat(F.when(F.col("c_custkey") % 3 == 0, "abcde").otherwise("12"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0"), F.lit("z ")).alias("pan"),
+        F.concat(F.lit("C"), key, F.when(F.col("c_custkey") % 4 == 0, " at ").otherwise("@"), F.lit("Mail.example.com")).alias("email"),
+        F.concat(place.cast("string"), F.lit(", MG Rd. - "), (place + 400000).cast("string")).alias("address"),
+    )
+    return standard.person(rows).select("c_custkey", "name_std", "name_key", "mobile_e164", "pan_std", "email_std", "address_std", "pincode_std")
+
+
+@add("""SELECT o_orderkey, CASE o_orderkey % 2 WHEN 0 THEN d ELSE c END AS own_account, CASE o_orderkey % 2 WHEN 0 THEN c ELSE d END AS counterparty_account, CASE o_orderkey % 2 WHEN 0 THEN cb ELSE db END AS counterparty_bank,
+    CASE o_orderkey % 2 WHEN 0 THEN cb ELSE db END = 'NORB' AS is_on_us, CASE WHEN CASE o_orderkey % 2 WHEN 0 THEN db ELSE cb END = 'NORB' THEN 'ACC:CBS:' || CASE o_orderkey % 2 WHEN 0 THEN d ELSE c END END AS account_key
+    FROM (SELECT o_orderkey, 'D' || CAST(o_custkey AS VARCHAR) AS d, 'C' || CAST(o_orderkey AS VARCHAR) AS c, CASE WHEN o_orderkey % 3 = 0 THEN 'HDFC' ELSE 'NORB' END AS db, CASE WHEN o_orderkey % 5 = 0 THEN 'NORB' ELSE 'ICIC' END AS cb FROM orders) x""")
+def payment_sides(t):
+    """Debtor and creditor turned into own and counterparty."""
+    key = F.col("o_orderkey")
+    rows = t("orders").select(
+        "o_orderkey",
+        F.when(key % 2 == 0, "DR").otherwise("CR").alias("direction"),
+        F.concat(F.lit("D"), F.col("o_custkey").cast("string")).alias("debtor_account"),
+        F.concat(F.lit("C"), key.cast("string")).alias("creditor_account"),
+        F.when(key % 3 == 0, "HDFC0000009").otherwise("NORB0000001").alias("debtor_ifsc"),
+        F.when(key % 5 == 0, "NORB0000001").otherwise("ICIC0000002").alias("creditor_ifsc"),
+        F.lit("D").alias("debtor_name"),
+        F.lit("C").alias("creditor_name"),
+    )
+    return banking.own_side(rows, "NORB").select("o_orderkey", "own_account", "counterparty_account", "counterparty_bank", "is_on_us", "account_key")
+
+
+_SCAN_SQL = "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE CAST(o_orderkey % 5000 AS INTEGER) END AS width, CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE CAST(o_custkey AS INTEGER) END AS height FROM orders"
+
+
+def _scans(t):
+    """Beginnings of images; every tenth ends within its sizes."""
+    word = lambda c: F.lpad(F.hex(c), 8, "0")
+    whole = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), word(F.col("o_orderkey") % 5000), word(F.col("o_custkey")), F.lit("08")))
+    rows = t("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.substring(whole, 1, 20)).otherwise(whole).alias("content"))
+    width, height = banking.png_size(F.col("content"))
+    return rows.withColumns({"width": width, "height": height})
+
+
+@add(_SCAN_SQL)
+def image_sizes(t):
+    return _scans(t).select("o_orderkey", "width", "height")
+
+
+@add(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'EMPTY' WHEN o_orderkey % 3 = 0 THEN CASE WHEN width = 0 THEN 'BAD_IMAGE' ELSE 'OK' END WHEN o_orderkey % 4 = 0 THEN 'OK' ELSE 'NO_IDENTIFIER' END AS extraction_status FROM ({_SCAN_SQL}) s""")
+def extraction_statuses(t):
+    key = F.col("o_orderkey")
+    mime, size, pan = F.when(key % 3 == 0, "image/png").otherwise("text/plain"), F.when(key % 7 == 0, 0).otherwise(24), F.when(key % 4 == 0, F.lit("ABCDE1234F"))
+    return _scans(t).select("o_orderkey", banking.extraction_status(size, mime, F.col("width"), [F.lit(None).cast("string"), pan]).alias("extraction_status"))

@@ -64,6 +64,15 @@ def scd2_restate(t):
     return scd2.step(first, again, ["cust"], ["status", "priority"], "1995-01-31").select("cust", "version", "status", "effective_from", "change_reason")
 
 
+@add(f"""SELECT a.cust, array_to_string(list_filter([CASE WHEN a.status <> b.status THEN 'status' END, CASE WHEN a.priority <> b.priority THEN 'priority' END], lambda x: x IS NOT NULL), ',') AS changed FROM ({_SNAP_SQL}) a JOIN ({_SNAP_SQL}) b ON a.cust = b.cust AND a.month = '1995-01' AND b.month = '1995-02'
+    WHERE a.status <> b.status OR a.priority <> b.priority""")
+def scd2_changed(t):
+    """What made a key's next version."""
+    first = scd2.step(None, _snapshot(t, "1995-01"), ["cust"], ["status", "priority"], "1995-01-31")
+    second = scd2.step(first, _snapshot(t, "1995-02"), ["cust"], ["status", "priority"], "1995-02-28")
+    return second.where("change_reason = 'CHANGED'").select("cust", F.array_join("changed_attributes", ",").alias("changed"))
+
+
 @add(f"SELECT cust, CASE WHEN cust % 2 = 0 THEN NULL ELSE 'REMOVED_AT_SOURCE' END AS end_reason FROM ({_SNAP_SQL}) s WHERE month = '1995-01'")
 def scd2_held(t):
     """Nothing arrives on the second day; keys in quarantine stay open."""

@@ -181,3 +181,28 @@ def merge_idempotent(t):
 def dedup_left_out(t):
     rows = t("lineitem")
     return duplicates(rows, ["l_orderkey", "l_linenumber"], [F.col(c) for c in ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")]).agg(F.count("*").alias("left_out"))
+
+
+@add("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'at:INVALID_TIMESTAMP' WHEN event_id % 5 = 0 THEN 'at:REQUIRED' ELSE '' END AS reasons FROM events")
+def timestamp_contract(t):
+    at = F.when(F.col("event_id") % 9 == 0, "2024-02-30 10:00:00").when(F.col("event_id") % 5 == 0, " ").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    rows = t("events").select("event_id", at.alias("at"))
+    return contract.validate(rows, {"columns": [{"name": "at", "type": "timestamp", "required": True}]}).select("event_id", F.array_join("_reject_reasons", ",").alias("reasons"))
+
+
+@add("""SELECT event_id, CASE event_type WHEN 'error' THEN CASE WHEN user_id % 4 = 0 THEN 'before.user_id:REQUIRED' ELSE '' END ELSE array_to_string(list_filter([CASE WHEN user_id % 4 = 0 THEN 'after.user_id:REQUIRED' END, CASE WHEN event_id % 6 = 0 THEN 'after.value:NOT_DECIMAL' END], lambda x: x IS NOT NULL), ',') END AS reasons FROM events""")
+def image_contract(t):
+    """Change events whose images break the target's contract: after it for c and u, the key before for d."""
+    target = {"table": "users", "key": ["user_id"], "columns": [{"name": "user_id", "type": "bigint", "required": True}, {"name": "value", "type": "decimal"}]}
+    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
+    image = F.struct(F.when(F.col("user_id") % 4 != 0, F.col("user_id")).alias("user_id"), F.when(F.col("event_id") % 6 == 0, "N/A").otherwise(F.col("value").cast("string")).alias("value"))
+    rows = t("events").select("event_id", op.alias("op"), F.to_json(F.struct(F.when(op == "d", image).alias("before"), F.when(op != "d", image).alias("after"))).alias("payload"))
+    checks = contract.image_checks({}, F.col("payload"), F.col("op"), F.lit("users"), target)
+    return contract.validate(rows, {"columns": [{"name": "op"}]}, checks).select("event_id", F.array_join("_reject_reasons", ",").alias("reasons"))
+
+
+@add(f"SELECT t.o_orderkey, t.o_custkey, t.o_totalprice, t.o_orderdate FROM ({_TEXT_SQL}) t JOIN ({_REASONS_SQL}) r USING (o_orderkey) WHERE len(reasons) > 0")
+def quarantined_record(t):
+    """What the quarantine keeps of a record: its text as it came."""
+    bad = contract.split(contract.validate(order_text(t), ORDER_CONTRACT))[1]
+    return bad.select(*[F.get_json_object("_record", f"$.{c}").alias(c) for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")])

@@ -138,3 +138,23 @@ def match_quality(t):
     c, parties = _parties(t)
     truth = c.select(F.col("candidate_id").alias("node"), F.floor(F.col("src_key").cast("long") / 4).alias("person"))
     return mdm.quality(parties.select("node", "party_id"), truth).select(F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"), "split_persons", "merged_parties")
+
+
+_PRIOR_SQL = f"""WITH c AS ({_CAND_SQL}), old AS (SELECT id, pan, CAST(key AS BIGINT) // 6 AS party FROM c), least_id AS (SELECT party, min(id) AS id_a FROM old GROUP BY party)
+    SELECT a.id AS id_a, o.id AS id_b, 'PRIOR_LINK' AS rule, 'MERGE' AS decision, CAST(0.9 AS DOUBLE) AS score FROM old o JOIN least_id l USING (party) JOIN c a ON a.id = l.id_a
+    WHERE o.id <> l.id_a AND NOT coalesce(a.pan <> o.pan, false) AND (a.id, o.id) NOT IN (SELECT (id_a, id_b) FROM ({_RULES_SQL}) r WHERE decision = 'MERGE')"""
+
+
+@add(_PRIOR_SQL)
+def match_prior(t):
+    """Parties of six neighbouring keys as if found before: their links hold unless PANs say otherwise."""
+    c = candidates(t)
+    previous = c.select("candidate_id", F.floor(F.col("src_key").cast("bigint") / 6).cast("string").alias("party_id"))
+    return mdm.prior_links(previous, pairs(t), c)
+
+
+@add(f"""WITH c AS ({_CAND_SQL}), m AS (SELECT * FROM ({_RULES_SQL}) r WHERE decision = 'MERGE'), ends AS (SELECT id_a AS id, rule, score FROM m UNION ALL SELECT id_b, rule, score FROM m),
+    best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY CASE rule WHEN 'PAN_EXACT' THEN 1 WHEN 'SOURCE_XREF' THEN 2 WHEN 'MOBILE_DOB' THEN 3 ELSE 4 END, score DESC, rule) AS rn FROM ends)
+    SELECT c.id AS candidate_id, coalesce(rule, 'SINGLETON') AS match_rule, coalesce(score, 1.0) AS match_score FROM c LEFT JOIN best ON best.id = c.id AND rn = 1""")
+def match_best_rule(t):
+    return mdm.best_rule(candidates(t).select(F.col("candidate_id").alias("node")), pairs(t)).select(F.col("node").alias("candidate_id"), "match_rule", "match_score")
