@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.relational import cut, ranked
-from .plans import cleansing, commits, files, history, oracles, records, resolution, semantic, surveillance
+from .plans import batch, cleansing, commits, files, history, oracles, records, resolution, semantic, surveillance
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,6 @@ def profitability_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {view: partial(_view, view=view) for view in semantic.QUERIES} | {"profitability_rank": profitability_rank}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
-for _module in (cleansing, commits, files, records, history, resolution, surveillance):
+for _module in (batch, cleansing, commits, files, records, history, resolution, surveillance):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

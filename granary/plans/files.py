@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,27 +18,22 @@ _r = Registry()
 QUERIES, ORACLES, add = _r.queries, _r.oracles, _r.add
 
 
-def _landed(rows: DataFrame, name: str, lines: Callable[[Iterator[tuple]], Iterator[str]]) -> str:
-    """One text file a partition of rows, from a function of its rows; the folder's pattern of files."""
-    columns = rows.columns
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def values() -> Iterator[tuple]:
-            for batch in batches:
-                for row in zip(*[batch[c].tolist() for c in columns], strict=True):
-                    yield tuple(None if v is None or v != v else v for v in row)
-
-        held = []
-        for line in lines(values()):
-            held.append(line)
-            if len(held) == 1000:
-                yield pd.DataFrame({"value": held})
-                held = []
-        yield pd.DataFrame({"value": held})
+def landed(rows: DataFrame, lines: Callable[[Iterator[tuple]], Iterator[str]], folder: str) -> None:
+    """One text file a partition of rows, from a function of its rows."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = lines(row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        while held := list(islice(out, 1000)):
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["value"])
 
     ship(rows.sparkSession)
+    rows.mapInArrow(write, "value string").write.text(folder)
+
+
+def _landed(rows: DataFrame, name: str, lines: Callable[[Iterator[tuple]], Iterator[str]]) -> str:
+    """The pattern of the files in a new folder."""
     folder = relational.work_folder(rows.sparkSession, name)
-    rows.mapInPandas(write, "value string").write.text(folder)
+    landed(rows, lines, folder)
     return f"{folder}/*.txt"
 
 

@@ -56,13 +56,13 @@ class Lakehouse:
     def log(self, batch: str, stage: str, entity: str, status: str, rows: tuple = (None, None, None), message: str | None = None) -> None:
         t = self.table("ref", "load_audit")
         t.ensure(audit.LOAD_AUDIT)
-        t.append(self.spark.createDataFrame([(batch, stage, entity, status, *rows, message, datetime.now(timezone.utc).replace(tzinfo=None))], audit.LOAD_AUDIT))
+        t.append(self.spark.createDataFrame([(batch, stage, entity, status, *rows, message, datetime.now(timezone.utc).replace(tzinfo=None))], audit.LOAD_AUDIT).coalesce(1))
 
     def _logged(self, log: audit.TransformLog) -> None:
         t = self.table("ref", "transform_log")
         t.ensure(audit.TRANSFORM_LOG)
         if log.rows:
-            t.append(self.spark.createDataFrame(log.rows, audit.TRANSFORM_LOG), log.batch)
+            t.append(self.spark.createDataFrame(log.rows, audit.TRANSFORM_LOG).coalesce(1), log.batch)
 
     def run(self, day: str, stages: tuple[str, ...] = STAGES, mode: str = "normal") -> None:
         for stage in stages:
@@ -454,7 +454,7 @@ class Lakehouse:
     def recon(self, day: str) -> None:
         batch, checks = self.batch(day), []
         quarantine = self.table("bronze", "quarantine").read(partitions={"_business_date": day})
-        one = lambda v: self.spark.createDataFrame([(float(v),)], "v double")
+        one = lambda v: self.spark.range(0, 1, 1, 1).select(F.lit(float(v)).alias("v"))
 
         def add(layer: str, check: DataFrame) -> None:
             checks.append(check.select(F.lit(batch).alias("batch_id"), F.lit(layer).alias("layer"), "check_name", "expected", "actual", "explained", "status"))

@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -97,21 +96,22 @@ def read_dump(spark: SparkSession, paths: str | list[str], table: str, columns:
     Every INSERT is a line, and lines are dealt to tasks; tokenising isn't expressible in SQL: Arrow batches of lines.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[str]] = {}
         for batch in batches:
-            for path, file, at, line, ddl in zip(batch["_path"], batch["_source_file"], batch["_source_row"], batch["line"], batch["_ddl"], strict=True):
+            for path, file, at, line, ddl in zip(*[batch.column(c).to_pylist() for c in ("_path", "_source_file", "_source_row", "line", "_ddl")], strict=True):
                 there = known.setdefault(ddl, dump_columns(ddl, table))
-                rows = (dict(zip(there, values, strict=False)) for values in tuples(line.split(" VALUES ", 1)[1]))
-                out = [(path, file, at, n, *[row.get(c) for c in columns]) for n, row in enumerate(rows, 1)]
-                yield pd.DataFrame(out, columns=["_path", "_source_file", "_line", "_place", *columns])
+                rows = [dict(zip(there, values, strict=False)) for values in tuples(line.split(" VALUES ", 1)[1])]
+                if rows:
+                    own = [pa.array([path] * len(rows)), pa.array([file] * len(rows)), pa.array([at] * len(rows), pa.int32()), pa.array(range(1, len(rows) + 1), pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*own, *[pa.array([row.get(c) for row in rows], pa.string()) for c in columns]], ["_path", "_source_file", "_line", "_place", *columns])
 
     lines = _lines(spark, paths).drop("_header")
     definitions = lines.where(r"line RLIKE '^(CREATE TABLE |[)]|\\s*`)'").groupBy("_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_source_row", "line"))), lambda x: x["line"]), "\n").alias("_ddl"))
     inserts = lines.where(F.col("line").startswith(f"INSERT INTO `{table}`") & F.col("line").contains(" VALUES "))
     inserts = inserts.join(small_side(cut(definitions)), "_path", "left").withColumn("_ddl", F.coalesce("_ddl", F.lit("")))  # a row a file
     schema = ", ".join(["_path string, _source_file string, _line int, _place int", *[f"`{c}` string" for c in columns]])
-    rows = cut(inserts.mapInPandas(parse, schema))  # tokenised once
+    rows = cut(inserts.mapInArrow(parse, schema))  # tokenised once
     counts = rows.groupBy("_path", "_line").agg(F.max("_place").alias("_rows"))
     before = counts.select("_path", "_line", (F.sum("_rows").over(Window.partitionBy("_path").orderBy("_line")) - F.col("_rows")).alias("_before"))
     return rows.join(small_side(cut(before)), ["_path", "_line"]).select("_source_file", (F.col("_before") + F.col("_place")).cast("int").alias("_source_row"), *columns)
