@@ -86,7 +86,7 @@ VIEWS: dict[str, str] = {
               LEFT JOIN (${crv_margins}) m ON m.product = n.product
               UNION ALL
               SELECT f.party_id, 'FEES', f.product, f.base_amount, p.annualisation_factor
-              FROM (SELECT o.o_custkey AS party_id, o.o_orderstatus AS product, SUM(CAST(o.o_totalprice * 0.001 AS DECIMAL(18,2))) AS base_amount
+              FROM (SELECT o.o_custkey AS party_id, o.o_orderstatus AS product, SUM(CAST(CAST(ROUND(o.o_totalprice * 0.001 * 100) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2))) AS base_amount
                     FROM ${orders} o CROSS JOIN (${crv_parameters}) q CROSS JOIN (SELECT MAX(CAST(o_orderdate AS DATE)) AS reporting_date FROM ${orders}) x
                     WHERE CAST(o.o_orderdate AS DATE) <= x.reporting_date AND DAYS(x.reporting_date; CAST(o.o_orderdate AS DATE)) < q.fee_window_days
                     GROUP BY o.o_custkey, o.o_orderstatus) f CROSS JOIN (${crv_parameters}) p) c""",
