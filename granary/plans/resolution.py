@@ -52,7 +52,7 @@ _RULES_SQL = f"""WITH c AS ({_CAND_SQL}), p AS ({_BLOCK_SQL}), f AS (SELECT p.id
 
 def pairs(t) -> DataFrame:
     c = candidates(t)
-    return mdm.decide(mdm.features(mdm.block(c), c))
+    return mdm.decide(mdm.matched(c))
 
 
 @add(_BLOCK_SQL)
