@@ -6,8 +6,8 @@ a key the fingerprints are compared in full.  Only distinct fingerprints are ind
 bucket at a time and gives back a spanning forest of the links, not the links, and a bucket that could be large is cut further
 along the fingerprint's other bits before it reaches a task.
 
-Near copies by Jaccard similarity are a join of their own (keep_one): a prefix filter over shingle sets finds every pair that can
-be similar enough, and each pair is verified on the sets.
+Near copies by Jaccard similarity (keep_one) are candidates of the same index first, each verified on shingle sets; a prefix filter
+over the sets then finds every pair that can be similar enough, and what isn't connected yet is verified, too.
 """
 
 from __future__ import annotations
@@ -309,7 +309,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3, segments: in
 #: Near copies: sets of so many-word shingles with a Jaccard similarity of SHARE[0] / SHARE[1] or more.
 WORDS, SHARE = 5, (4, 5)
 #: Counters of the order of shingles: they decide how fast, not what is found.
-SLOTS = 1 << 16
+SLOT_BITS = 18
+SLOTS = 1 << SLOT_BITS
 #: The sets of a crowd, those with one shingle in their prefixes, are met in turns if they are more than this: first by one of them only (one of
 #: VARIANTS, so that most pairs of sets meet the same one under all their shingles), then by the NEAREST of those that they aren't connected with, ROUNDS times, and
 #: then by all of these.  All but CROWD are only about how fast what is connected is found.
@@ -325,7 +326,7 @@ def shingle_set(text: str, words: int = WORDS, seed: int = SEED) -> np.ndarray:
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
-    return (values.view(np.uint64) >> np.uint64(48)).astype(np.int64)
+    return (values.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def slot_counts(docs: DataFrame) -> np.ndarray:
@@ -350,15 +351,16 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
-    """doc_id, row, a, b (a digest of the shingle set), n (its size), sketch, prefix: as many of its shingles, rarest first, that a set
+    """doc_id, row, f (fingerprint()), a, b (a digest of the shingle set), n (its size), sketch, prefix: as many of its shingles, rarest first, that a set
     similar enough must hold one of them in its own prefix."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            digests, sizes, sketches, firsts = [], [], [], []
+            digests, sizes, sketches, firsts, marks = [], [], [], [], []
             for text in batch.column("text").to_pylist():
+                marks.append(_signed(fingerprint(text)))
                 values = shingle_set(text)
                 digests.append(xxhash.xxh3_128_digest(values.tobytes()))
                 sizes.append(len(values))
@@ -366,11 +368,11 @@ def prefixes(docs: DataFrame, row: str, counts: np.ndarray) -> DataFrame:
                 shared = -(-len(values) * SHARE[0] // SHARE[1])
                 firsts.append(values[np.lexsort((values, sent.value[_slot(values)]))[: len(values) - shared + 1]])
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            columns = [batch.column("doc_id"), batch.column(row), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), _lists(firsts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "a", "b", "n", "sketch", "prefix"])
+            columns = [batch.column("doc_id"), batch.column(row), pa.array(marks, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), _lists(firsts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "f", "a", "b", "n", "sketch", "prefix"])
 
     bounded(spark)
-    return texts(docs, row).mapInArrow(run, "doc_id long, row long, a long, b long, n long, sketch binary, prefix array<long>")
+    return texts(docs, row).mapInArrow(run, "doc_id long, row long, f long, a long, b long, n long, sketch binary, prefix array<long>")
 
 
 def _may_be_near(n: tuple[np.ndarray, np.ndarray], at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -481,10 +483,11 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str, known: DataFrame | None = None) -> DataFrame:
     """Forests over the pairs (x, y) of rows whose shingle sets are similar enough.
 
-    Sketches rule out most other pairs; only texts that stand in a pair that is left are cut again.
+    Sketches rule out most other pairs, and those that the links ``known`` connect needn't be looked at; only texts that stand in a
+    pair that is left are cut again.
     """
     spark, (part, whole) = docs.sparkSession, SHARE
     pairs = pairs.distinct()
@@ -493,6 +496,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) ->
     unlike = F.expr(" + ".join(f"bit_count(CAST(conv(hex(substring(sx, {i}, 7)), 16, 10) AS BIGINT) ^ CAST(conv(hex(substring(sy, {i}, 7)), 16, 10) AS BIGINT))" for i in range(1, PARITY // 8 + 1, 7)))
     most = F.expr(f"nx + ny - 2 * (({part} * (nx + ny) + {part + whole - 1}) DIV {part + whole})")
     pairs = stored(pairs.where(unlike <= most).select("x", "y"), "pairs")
+    if known is not None:
+        roots = components(known)
+        for side in ("x", "y"):
+            pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+        pairs = stored(pairs.where(F.coalesce("rx", "x") != F.coalesce("ry", "y")).select("x", "y"), "apart")
     wanted = pairs.select(F.col("x").alias(row)).unionByName(pairs.select(F.col("y").alias(row))).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -507,10 +515,20 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, row: str) ->
     return stored(both.where(near).select("x", "y").mapInArrow(_forests, "x long, y long"), "near")
 
 
+def marked_pairs(nodes: DataFrame) -> DataFrame:
+    """Candidates (x, y) by SimHash: rows of one fingerprint f, and of fingerprints that links() of up to three bits connect; a star or forest each."""
+    marks = stored(nodes.groupBy("f").agg(F.min("row").alias("first")), "marks")
+    same = nodes.join(marks, "f").where("row <> first").select(F.col("first").alias("x"), F.col("row").alias("y"))
+    linked = links(marks.select(F.col("f").alias("a"), F.lit(0).cast("long").alias("b")), ["a"], 2, 3).select("a1", "a2")
+    for end, out in (("a1", "p"), ("a2", "q")):
+        linked = linked.join(marks.select(F.col("f").alias(end), F.col("first").alias(out)), end)
+    return same.unionByName(linked.select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")))
+
+
 def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
-    """Links (x, y) that connect all rows of ``nodes`` (row, n, sketch, prefix; distinct sets) whose similarity reaches SHARE, directly or by others.
+    """Links (x, y) that connect all rows of ``nodes`` (row, f, n, sketch, prefix; distinct sets) whose similarity reaches SHARE, directly or by others.
 
-    Every such pair shares a shingle in its prefixes.  Where few do, all pairs are verified.  Where many do, one of them is
+    Candidates by SimHash are verified first; pairs that these links connect aren't verified again.  Every similar pair shares a shingle in its prefixes.  Where few do, all pairs are verified.  Where many do, one of them is
     compared with all first, then each with the nearest that it isn't connected with, and at last with all that are still left.
     """
     spark = docs.sparkSession
@@ -520,7 +538,8 @@ def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
 
     index = nodes.select("row", "n", F.posexplode("prefix").alias("at", "key")).select("key", "row", "n", F.col("at").cast("long").alias("at"))
     first = stored(in_order(index).mapInArrow(_first_pairs, "x long, y long, key long, n long, at long"), "first-pairs")
-    near = _verified(first.where("y IS NOT NULL").select("x", "y"), nodes, docs, row)
+    known = _verified(marked_pairs(nodes), nodes, docs, row)
+    near = known.unionByName(_verified(first.where("y IS NOT NULL").select("x", "y"), nodes, docs, row, known))
     crowd = first.where("y IS NULL").select("key", F.col("x").alias("row"), "n", "at")
     if not crowd.take(1):
         return near
@@ -544,7 +563,7 @@ def near_links(nodes: DataFrame, docs: DataFrame, row: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Documents without near copies: of each group that links of Jaccard similarity 0.8 or more over five-word shingles connect, one row stays.
 
-    Exact: a prefix filter misses no such pair, and every link is verified on the sets of shingles (repeats don't count).  Equal
+    Exact: SimHash gives the first candidates, a prefix filter misses no pair of the rest, and every link is verified on the sets of shingles (repeats don't count).  Equal
     texts are one group, however short, and so are all texts without a word (null counts as empty).  The row with the smallest
     doc_id stays, a null doc_id last; of repeated rows one stays.  Columns and their values are those of docs, whatever their names.
     """

@@ -202,3 +202,13 @@ def test_a_repeated_line_makes_no_near_copies(spark, odd):
         line = word(12)
         rows += [(len(rows) + i, "\n".join([line] * times) + "\n" + word(own)) for i in range(2)]
     assert kept(spark, odd, rows) == list(range(40))
+
+
+def test_near_copies_are_candidates_by_fingerprint(spark):
+    """Rows of close fingerprints are found by the index of the fingerprints; what it doesn't find is left to the prefix filter."""
+    rows = [(1, 0b1), (2, 0b1), (3, 0b11110 << 20), (4, 0b110), (5, 0b1111111)]
+    nodes = spark.createDataFrame(rows, "row long, f long")
+    found = {frozenset((r.x, r.y)) for r in simhash.marked_pairs(nodes).collect()}
+    bits = dict(rows)
+    assert frozenset((1, 2)) in found and frozenset((1, 4)) in found
+    assert all(((bits[x] ^ bits[y]).bit_count()) <= 7 for x, y in map(sorted, found)) and not any(3 in pair for pair in found)
